@@ -33,12 +33,13 @@ def exact_percentile(
     )
     is_small = F.count("v") <= small
     bracket = values.agg(
-        F.when(is_small, F.min("v")).otherwise(sketch[0]).alias("low"),
-        F.when(is_small, F.max("v")).otherwise(sketch[1]).alias("high"),
-        (F.count("v") - 1).alias("last"),
-    )
-    low, high = bracket.select("low").scalar(), bracket.select("high").scalar()
-    rank = bracket.select((F.col("last") * F.lit(fraction)).alias("rank")).scalar()
+        F.struct(
+            F.when(is_small, F.min("v")).otherwise(sketch[0]).alias("low"),
+            F.when(is_small, F.max("v")).otherwise(sketch[1]).alias("high"),
+            ((F.count("v") - 1) * F.lit(fraction)).alias("rank"),
+        )
+    ).scalar()
+    low, high, rank = bracket["low"], bracket["high"], bracket["rank"]
 
     inside = values.where(F.col("v") <= high).select(
         F.when(F.col("v") >= low, F.col("v")).alias("v")

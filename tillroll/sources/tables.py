@@ -19,17 +19,21 @@ class TableSource:
 
     A database is `TableSource("jdbc", options={"url": ..., "dbtable": ...})`; for a
     large table also set `partitionColumn`, `lowerBound`, `upperBound` and
-    `numPartitions`, so that executors read slices in parallel.
+    `numPartitions`, so that executors read slices in parallel. Files whose layout is
+    known should name it in `layout`, which saves the job that reads it from footers.
     """
 
     format: str
     path: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    layout: StructType | None = None
 
 
 def read_table(spark: SparkSession, source: TableSource, schema: StructType) -> DataFrame:
     """Full read of a table as `schema`, extra source columns left unread."""
     reader = spark.read.format(source.format).options(**source.options)
+    if source.layout is not None:
+        reader = reader.schema(source.layout)
     loaded = reader.load(source.path) if source.path else reader.load()
     return loaded.select(
         *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
