@@ -334,5 +334,6 @@ def build() -> dict[str, str]:
         "incremental_load_cleaned": raw_events
         + f"""{history} UNION ALL SELECT *, {_PARTS} FROM clean WHERE "at" > {_MARK}""",
         "daily_report": _REPORT,
+        "daily_report_from_lake": _REPORT,
         "stream_incremental_load": _EVENTS_LAKE + ' WHERE "at" IS NOT NULL',
     }

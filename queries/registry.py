@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from queries.settings import (
     AS_OF,
+    DAY,
     EVENTS_CUTOFF,
     FIRST_CUSTOMER,
     LAST_CUSTOMER,
@@ -55,6 +56,7 @@ from tillroll.sources import (
     TableSource,
     new_folder,
     read_csv,
+    read_lake,
     read_mark,
     read_table,
     read_transactions,
@@ -399,6 +401,15 @@ def daily_report(spark, sf_dir):
     return report.daily_report(events_star(spark, sf_dir), AS_OF)
 
 
+@query
+def daily_report_from_lake(spark, sf_dir):
+    lake, star = _new_lake(spark), events_star(spark, sf_dir)
+    write_transactions(star.fact, lake, "overwrite")
+    write_dimension(star.payment, lake.payments)
+    write_dimension(star.truck, lake.trucks)
+    return report.daily_report(read_lake(spark, lake, [DAY]), AS_OF)
+
+
 @query
 def stream_incremental_load(spark, sf_dir):
     lake = _new_lake(spark)

@@ -1,13 +1,27 @@
 """Initial, incremental and streaming loads, run again and after crashes."""
 
+import importlib
+from datetime import date, datetime, timedelta
+
 import pytest
-from pyspark.sql import functions as F
 
 import tillroll.plans.load as load_plan
 from conftest import at, rows
 from tillroll.operators.clean import Validity
 from tillroll.plans.load import append_new, incremental_load, increment_stats, initial_load, profile
-from tillroll.sources import new_folder, read_mark, read_table, read_transactions, register_lake
+from tillroll.operators.star import star_join
+from tillroll.sources import (
+    new_folder,
+    read_catalog,
+    read_days,
+    read_lake,
+    read_mark,
+    read_table,
+    read_transactions,
+    register_lake,
+    write_dimension,
+    write_transactions,
+)
 from tillroll.sources.tables import TableSource
 from tillroll.schemas import PAYMENT, TRUCK
 from tillroll.streaming.landing import land_batch, land_stream
@@ -156,13 +170,45 @@ def test_stream_survives_failure_and_redelivery(spark, facts, lake, monkeypatch)
     assert ids(spark, lake) == [4, 5, 6, 8]
 
 
-def test_append_reads_back_only_the_touched_days(spark, facts, lake):
+def test_append_lists_only_the_touched_days(spark, facts, lake):
     incremental_load(facts(*NEW), lake, CUTOFF)
-    landed = read_transactions(spark, lake)
-    days = sorted(profile(facts(NEW[2])).days)
-    plan = landed.where(F.make_date("year", "month", "day").isin(days))
-    assert len(plan.inputFiles()) >= 1
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in text and "make_date" in text
+    some = read_days(spark, lake, [date(2024, 1, 12), date(2024, 1, 10), date(2024, 2, 29)])
+    assert {f.rsplit("/", 2)[1] for f in some.inputFiles()} == {"day=10", "day=12"}
+    assert sorted(r["transaction_id"] for r in some.collect()) == [4, 6]
+    assert rows(read_days(spark, lake, [])) == []
     append_new(facts(*NEW), lake, profile(facts(*NEW)).days)
     assert ids(spark, lake) == [4, 5, 6]
+
+
+def test_crash_inside_a_second_initial_load_leaves_no_gap(spark, fleet, lake, monkeypatch):
+    star = fleet(*HISTORY, *NEW)
+    initial_load(star, lake, CUTOFF)
+    incremental_load(star.fact, lake, CUTOFF)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(load_plan, "write_dimension", crash)
+        with pytest.raises(RuntimeError):
+            initial_load(star, lake, CUTOFF)
+    incremental_load(star.fact, lake, CUTOFF)
+    assert ids(spark, lake) == [1, 2, 4, 5, 6]
+
+
+def test_many_days_reach_the_catalog(spark, facts, lake, fleet):
+    star = fleet(*[(i, 1, 1, 100, str(datetime(2024, 1, 1) + timedelta(days=i))) for i in range(6)])
+    write_dimension(star.truck, lake.trucks)
+    write_dimension(star.payment, lake.payments)
+    write_transactions(star.fact.where("transaction_id = 0"), lake, "overwrite")
+    database = "many_" + lake.root.rsplit("-", 1)[1]
+    register_lake(spark, lake, database)
+    lake_module = importlib.import_module("tillroll.sources.lake")
+    lake_module_calls = lake_module._PARTITIONS_PER_CALL
+    try:
+        lake_module._PARTITIONS_PER_CALL = 2
+        incremental_load(star.fact, lake, "2024-01-01", table=f"{database}.transaction_table")
+    finally:
+        lake_module._PARTITIONS_PER_CALL = lake_module_calls
+    assert star_join(read_catalog(spark, database)).count() == 6
+    assert star_join(read_lake(spark, lake)).count() == 6

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,44 +25,51 @@ _GRAINS = {
 }
 
 
-def dimension_bytes(dimension: DataFrame) -> int:
-    """Measured size of a dimension: the text it holds plus 8 bytes per other field."""
-    texts = [f.name for f in dimension.schema.fields if isinstance(f.dataType, StringType)]
-    per_row = F.lit(8 * len(dimension.columns)).cast("long")
-    for name in texts:
-        per_row = per_row + F.coalesce(F.octet_length(name), F.lit(0))
-    return dimension.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
+def dimension_bytes(*dimensions: DataFrame) -> list[int]:
+    """Measured size of each dimension, in one job: the text it holds plus 8 bytes per
+    other field."""
+    measured = []
+    for number, dimension in enumerate(dimensions):
+        texts = [f.name for f in dimension.schema.fields if isinstance(f.dataType, StringType)]
+        fixed = 8 * (len(dimension.columns) - len(texts))
+        row = " + ".join([f"{fixed}L", *[f"coalesce(octet_length(`{t}`), 0)" for t in texts]])
+        measured.append(
+            dimension.agg(
+                F.lit(number).alias("number"),
+                F.expr(f"coalesce(sum({row}), 0L)").alias("bytes"),
+            )
+        )
+    sizes = reduce(DataFrame.unionByName, measured).collect()
+    return [row["bytes"] for row in sorted(sizes, key=lambda row: row["number"])]
 
 
-def attach(
-    fact: DataFrame, dimension: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Inner join of fact rows with a dimension.
+def star_join(star: Star, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Every sale with the names its ids stand for; sales without a match vanish.
 
-    Measured small, the dimension is broadcast and the fact stays where it is. Beyond
-    that both sides shuffle on the key and adaptive execution splits the tasks of a key
+    A dimension measured small is broadcast, so the fact stays where it is. Beyond the
+    bound both sides shuffle on the key, and adaptive execution splits the tasks of a key
     that holds a large share of the fact.
     """
-    if dimension_bytes(dimension) <= broadcast_bytes:
-        dimension = F.broadcast(dimension)
-    return fact.join(dimension, key)
-
-
-def star_join(star: Star, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Every sale with the names its ids stand for; sales without a match vanish."""
     payment = star.payment.select("payment_method_id", "payment_method")
     truck = star.truck.select("truck_id", "truck_name", "has_card_reader", "fsa_rating")
-    joined = attach(star.fact, payment, "payment_method_id", broadcast_bytes)
-    joined = attach(joined, truck, "truck_id", broadcast_bytes)
-    return joined.select(
-        "transaction_id",
-        "truck_name",
-        "payment_method",
-        pounds(F.col("total")).alias("total_pounds"),
-        "at",
-        "has_card_reader",
-        "fsa_rating",
-        "total",
+    payment_bytes, truck_bytes = dimension_bytes(payment, truck)
+    if payment_bytes <= broadcast_bytes:
+        payment = F.broadcast(payment)
+    if truck_bytes <= broadcast_bytes:
+        truck = F.broadcast(truck)
+    return (
+        star.fact.join(payment, "payment_method_id")
+        .join(truck, "truck_id")
+        .select(
+            "transaction_id",
+            "truck_name",
+            "payment_method",
+            pounds(F.col("total")).alias("total_pounds"),
+            "at",
+            "has_card_reader",
+            "fsa_rating",
+            "total",
+        )
     )
 
 

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import ntz, sale_date
 from tillroll.operators.clean import Validity, clean_transactions
-from tillroll.schemas import HISTORY_CUTOFF, PARTITION_COLUMNS, Star
+from tillroll.schemas import HISTORY_CUTOFF, Star
 from tillroll.sources.lake import (
     Lake,
     add_partitions,
+    read_days,
     read_mark,
-    read_transactions,
     write_dimension,
     write_mark,
     write_transactions,
@@ -36,14 +36,17 @@ class Increment:
 def initial_load(
     star: Star, lake: Lake, cutoff=HISTORY_CUTOFF, rule: Validity = Validity()
 ) -> None:
-    """Replace the lake with the cleaned history up to the cutoff, and restart the mark
-    there, so that increments removed by the overwrite are loaded again."""
-    spark = star.fact.sparkSession
+    """Replace the lake with the cleaned history up to the cutoff.
+
+    The mark goes back to the cutoff first. A crash after that leaves either the old lake,
+    of which the next increment finds everything landed, or a lake to be loaded again; a
+    late mark over a fresh lake would leave a gap.
+    """
+    write_mark(star.fact.sparkSession, lake, datetime.fromisoformat(str(cutoff)))
     history = star.fact.where(up_to(cutoff))
     write_transactions(clean_transactions(history, rule), lake, "overwrite")
     write_dimension(star.payment, lake.payments)
     write_dimension(star.truck, lake.trucks)
-    write_mark(spark, lake, datetime.fromisoformat(str(cutoff)))
 
 
 def increment_stats(increment: DataFrame) -> DataFrame:
@@ -73,14 +76,12 @@ def profile(increment: DataFrame) -> Increment:
 def append_new(increment: DataFrame, lake: Lake, days: Collection[date]) -> None:
     """Append the rows of these days that the lake does not hold yet.
 
-    A sale is known by its id and its time. Only the touched day folders are read back,
-    and of them only those two columns; repeated identities are collapsed before the
+    A sale is known by its id and its time. Only the folders of these days are listed and
+    only those two columns read back; repeated identities are collapsed before the
     shuffle. Running it again after a crash, before the mark has moved, appends nothing.
     """
-    landed = read_transactions(increment.sparkSession, lake)
-    touched = F.make_date(*PARTITION_COLUMNS).isin(sorted(days))
     known = (
-        landed.where(touched)
+        read_days(increment.sparkSession, lake, days)
         .select(F.col("transaction_id").alias("known_id"), F.col("at").alias("known_at"))
         .distinct()
     )

@@ -1,6 +1,9 @@
 from tillroll.sources.lake import (
     Lake,
     add_partitions,
+    read_catalog,
+    read_days,
+    read_lake,
     read_mark,
     read_transactions,
     register_lake,
@@ -16,7 +19,10 @@ __all__ = [
     "TableSource",
     "add_partitions",
     "new_folder",
+    "read_catalog",
     "read_csv",
+    "read_days",
+    "read_lake",
     "read_mark",
     "read_star",
     "read_table",

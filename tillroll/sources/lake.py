@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillroll.functions import with_partition_columns
-from tillroll.schemas import LAKE_TRANSACTION, MARK, PARTITION_COLUMNS, PAYMENT, TRUCK
+from tillroll.schemas import LAKE_TRANSACTION, MARK, PARTITION_COLUMNS, PAYMENT, TRUCK, Star
 
 # Upper bound on the rows of one file, so that a day holding a large share of the
 # table is many files and not one.
 MAX_RECORDS_PER_FILE = 20_000_000
 
+_PARTITIONS_PER_CALL = 200
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -65,9 +68,11 @@ def write_dimension(dimension: DataFrame, path: str) -> None:
     dimension.write.mode("overwrite").parquet(path)
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _read_or_empty(
+    spark: SparkSession, path: str, schema: StructType, **options: str
+) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).options(**options).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -79,6 +84,41 @@ def read_transactions(spark: SparkSession, lake: Lake) -> DataFrame:
     return _read_or_empty(spark, lake.transactions, LAKE_TRANSACTION)
 
 
+def read_days(spark: SparkSession, lake: Lake, days: Iterable[date]) -> DataFrame:
+    """The landed fact of some days. Only their folders are listed, month by month, so the
+    cost does not grow with the age of the lake; days not landed have no rows."""
+    months: dict[tuple[int, int], list[str]] = {}
+    for day in sorted(set(days)):
+        months.setdefault((day.year, day.month), []).append(str(day.day))
+    folders = [
+        f"{lake.transactions}/year={year}/month={month}/day={{{','.join(found)}}}"
+        for (year, month), found in months.items()
+    ]
+    parts = [
+        _read_or_empty(spark, folder, LAKE_TRANSACTION, basePath=lake.transactions)
+        for folder in folders
+    ]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], LAKE_TRANSACTION))
+
+
+def read_lake(spark: SparkSession, lake: Lake, days: Iterable[date] | None = None) -> Star:
+    """The lake as a star, of all days or of some."""
+    return Star(
+        read_transactions(spark, lake) if days is None else read_days(spark, lake, days),
+        spark.read.schema(PAYMENT).parquet(lake.payments),
+        spark.read.schema(TRUCK).parquet(lake.trucks),
+    )
+
+
+def read_catalog(spark: SparkSession, database: str) -> Star:
+    """The registered lake as a star; day filters prune partitions in the catalog."""
+    return Star(
+        spark.table(f"{database}.transaction_table"),
+        spark.table(f"{database}.payment_table"),
+        spark.table(f"{database}.truck_table"),
+    )
+
+
 def read_mark(spark: SparkSession, lake: Lake, default) -> DataFrame:
     """The high-water mark as one row, `default` before the first load."""
     stored = _read_or_empty(spark, lake.mark, MARK)
@@ -117,9 +157,10 @@ def _create_table(spark: SparkSession, name: str, schema: StructType, path: str)
 
 def add_partitions(spark: SparkSession, table: str, days: Iterable[date]) -> None:
     """Show freshly landed days in the catalog, without listing the whole lake again."""
-    parts = " ".join(
+    parts = [
         f"PARTITION (year={d.year}, month={d.month}, day={d.day})" for d in sorted(days)
-    )
-    if parts:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
-        spark.catalog.refreshTable(table)
+    ]
+    for first in range(0, len(parts), _PARTITIONS_PER_CALL):
+        some = " ".join(parts[first : first + _PARTITIONS_PER_CALL])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+    spark.catalog.refreshTable(table)
