@@ -415,12 +415,11 @@ def stream_incremental_load(spark, sf_dir):
     lake = _new_lake(spark)
     landing = land_stream(
         spark,
-        sf_dir,
+        f"{sf_dir}/{{events}}.parquet",  # as a pattern, a file will do as well as a folder
         lake,
         checkpoint=new_folder(spark, "landing"),
         schema=EVENTS,
         to_fact=events_fact,
-        pathGlobFilter="events.parquet",
     )
     landing.awaitTermination()
     return read_transactions(spark, lake)

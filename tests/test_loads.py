@@ -7,6 +7,8 @@ import pytest
 
 import tillroll.plans.load as load_plan
 from conftest import at, rows
+from queries.registry import QUERIES
+from tillroll.adapters import table
 from tillroll.operators.clean import Validity
 from tillroll.plans.load import append_new, incremental_load, increment_stats, initial_load, profile
 from tillroll.operators.star import star_join
@@ -151,8 +153,8 @@ def test_stream_survives_failure_and_redelivery(spark, facts, lake, monkeypatch)
     write_file(facts, folder, NEW[0], NEW[0], NEW[1], (9, 1, 1, 5, None))
     real, calls = landing.append_new, []
 
-    def append_then_fail(*args):
-        real(*args)
+    def append_then_fail(*args, **options):
+        real(*args, **options)
         calls.append(1)
         if len(calls) == 1:
             raise RuntimeError("lost after the append")
@@ -212,3 +214,38 @@ def test_many_days_reach_the_catalog(spark, facts, lake, fleet):
         lake_module._PARTITIONS_PER_CALL = lake_module_calls
     assert star_join(read_catalog(spark, database)).count() == 6
     assert star_join(read_lake(spark, lake)).count() == 6
+
+
+def test_stream_query_reads_a_table_of_several_files(spark, sf_dir):
+    folder = new_folder(spark, "tables")
+    events = table(spark, sf_dir, "events")
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    landed = QUERIES["stream_incremental_load"](spark, folder)
+    assert landed.count() == events.count()
+
+
+def test_a_sale_without_id_lands_once_per_time(spark, facts, lake):
+    first, second = (None, 1, 1, 5, "2024-01-12 07:00:00"), (None, 1, 1, 5, "2024-01-12 07:00:01")
+    zero = (0, 1, 1, 5, "2024-01-12 07:00:00")  # not the same as no id
+    for batch in ((first,), (first, first, second, zero), (zero, second)):
+        land_batch(facts(*batch), lake)
+    landed = [(r["transaction_id"], r["at"].second) for r in read_transactions(spark, lake).collect()]
+    assert sorted(landed, key=repr) == [(0, 0), (None, 0), (None, 1)]
+
+
+def test_landing_shuffles_a_batch_once_before_the_write(spark, facts, lake, monkeypatch):
+    land_batch(facts(*NEW), lake)
+    plans = []
+    monkeypatch.setattr(
+        load_plan,
+        "write_transactions",
+        lambda fresh, *_: plans.append(fresh._jdf.queryExecution().executedPlan().toString()),
+    )
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")
+        land_batch(facts(*NEW), lake)
+    finally:
+        spark.conf.set(threshold, before)
+    assert plans[0].count("Exchange hashpartitioning") == 2  # the batch and the lake

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import ntz, sale_date
 from tillroll.operators.clean import Validity, clean_transactions
-from tillroll.schemas import HISTORY_CUTOFF, Star
+from tillroll.schemas import HISTORY_CUTOFF, TRANSACTION, Star
 from tillroll.sources.lake import (
     Lake,
     add_partitions,
@@ -73,24 +73,37 @@ def profile(increment: DataFrame) -> Increment:
     )
 
 
-def append_new(increment: DataFrame, lake: Lake, days: Collection[date]) -> None:
-    """Append the rows of these days that the lake does not hold yet.
+# A sale is known by its id and its time; a missing id is an id of its own. Spelled out as
+# plain columns so that dropping repeats and the anti join share one shuffle.
+_IDENTITY = ["_id", "_no_id", "at"]
 
-    A sale is known by its id and its time. Only the folders of these days are listed and
-    only those two columns read back; repeated identities are collapsed before the
-    shuffle. Running it again after a crash, before the mark has moved, appends nothing.
-    """
-    known = (
-        read_days(increment.sparkSession, lake, days)
-        .select(F.col("transaction_id").alias("known_id"), F.col("at").alias("known_at"))
-        .distinct()
-    )
-    fresh = increment.join(
-        known,
-        F.col("transaction_id").eqNullSafe(F.col("known_id")) & (F.col("at") == F.col("known_at")),
-        "left_anti",
+
+def _identified(sales: DataFrame) -> DataFrame:
+    return sales.withColumns(
+        {
+            "_id": F.coalesce("transaction_id", F.lit(0)),
+            "_no_id": F.col("transaction_id").isNull(),
+        }
     )
-    write_transactions(fresh, lake, "append")
+
+
+def append_new(
+    increment: DataFrame, lake: Lake, days: Collection[date], once: bool = False
+) -> None:
+    """Append the rows of these days that the lake does not hold yet; with `once`, one row
+    for each sale.
+
+    Only the folders of these days are listed and only the identity columns read back;
+    repeated identities are collapsed before the shuffle. Running it again after a crash,
+    before the mark has moved, appends nothing.
+    """
+    arriving = _identified(increment)
+    if once:
+        arriving = arriving.dropDuplicates(_IDENTITY)
+    landed = read_days(increment.sparkSession, lake, days)
+    known = _identified(landed).select(*_IDENTITY).distinct()
+    fresh = arriving.join(known, _IDENTITY, "left_anti")
+    write_transactions(fresh.select(*TRANSACTION.names), lake, "append")
 
 
 def incremental_load(

@@ -23,7 +23,7 @@ def land_batch(batch: DataFrame, lake: Lake) -> None:
     dated = batch.where(F.col("at").isNotNull())
     found = profile(dated)
     if found.days:
-        append_new(dated.dropDuplicates(["transaction_id", "at"]), lake, found.days)
+        append_new(dated, lake, found.days, once=True)
 
 
 def land_stream(
