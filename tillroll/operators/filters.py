@@ -34,7 +34,10 @@ def between_days(df: DataFrame, first: date, last: date) -> DataFrame:
             & (F.col("month") == first.month)
             & (F.col("day") == first.day)
         )
-    return rows.where(F.make_date("year", "month", "day").between(F.lit(first), F.lit(last)))
+    # the bare year is what a metastore can filter by itself
+    return rows.where(F.col("year").between(first.year, last.year)).where(
+        F.make_date("year", "month", "day").between(F.lit(first), F.lit(last))
+    )
 
 
 def on_day(df: DataFrame, day: date) -> DataFrame:

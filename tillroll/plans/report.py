@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import hourly_rate, money, percent, pounds, segment_rank
+from tillroll.functions import hourly_rate, money, percent, segment_rank
 from tillroll.operators.metrics import (
     below_percentile,
     hourly_pence,
@@ -21,14 +22,7 @@ from tillroll.schemas import Star
 from tillroll.sources.shared import stage
 
 # Sections in reading order.
-SUMMARY, UNDERPERFORMERS, VELOCITY, SEGMENTS, INSIGHTS = (
-    "summary",
-    "underperformers",
-    "velocity",
-    "segments",
-    "insights",
-)
-_SECTIONS = (SUMMARY, UNDERPERFORMERS, VELOCITY, SEGMENTS, INSIGHTS)
+SECTIONS = ("summary", "underperformers", "velocity", "segments", "insights")
 
 
 class NoSales(ValueError):
@@ -36,22 +30,28 @@ class NoSales(ValueError):
 
 
 def _lines(
-    df: DataFrame,
-    section: str,
-    label: Column,
-    value: Column,
-    display: Column,
-    sort_key: Column,
-    share: Column | None = None,
+    df: DataFrame, section: str, sort_key: str, label: str, value: str, pct: str = "NULL"
 ) -> DataFrame:
-    return df.select(
-        F.lit(_SECTIONS.index(section) + 1).alias("section_no"),
-        F.lit(section).alias("section"),
-        sort_key.cast("double").alias("sort_key"),
-        label.alias("label"),
-        value.cast("double").alias("value"),
-        (F.lit(None) if share is None else share).cast("double").alias("pct"),
-        display.alias("display"),
+    """Lines of one section, their columns given as SQL."""
+    return df.selectExpr(
+        f"{SECTIONS.index(section) + 1} AS section_no",
+        f"'{section}' AS section",
+        f"CAST({sort_key} AS DOUBLE) AS sort_key",
+        f"{label} AS label",
+        f"CAST({value} AS DOUBLE) AS value",
+        f"CAST({pct} AS DOUBLE) AS pct",
+    )
+
+
+def _display() -> Column:
+    """What a line shows of its value and percentage."""
+    section, value, pct = F.col("section"), F.col("value"), F.col("pct")
+    return (
+        F.when(section == "velocity", hourly_rate(value))
+        .when(section == "segments", F.concat(money(value), F.lit(", "), percent(pct)))
+        .when(section == "insights", F.concat(percent(pct), F.lit(" of revenue")))
+        .when(pct.isNotNull(), F.concat(percent(pct), F.lit(" of transactions")))
+        .otherwise(money(value))
     )
 
 
@@ -61,81 +61,23 @@ def report_lines(sales: DataFrame) -> DataFrame:
     Lines sort by `section_no`, `sort_key` and `label`. The key is a rank or a revenue
     rather than a running number, so a long list of trucks needs no single-task numbering.
     """
-    by_truck = pence_by_truck(sales)
-    velocity = hourly_pence(sales)
-    segments = price_segmentation(sales)
-    segment, revenue = F.col("price_segment"), F.col("total_pounds")
-    sold_share = F.col("percentage_of_transactions")
-    revenue_share = F.col("percentage_of_revenue")
-    truck, pence = F.col("truck_name"), F.col("pence")
-    rate = F.col("hourly_pence")
-
-    sections = [
-        _lines(
-            total_pence(sales),
-            SUMMARY,
-            F.lit("total revenue"),
-            pounds(pence),
-            money(pounds(pence)),
-            F.lit(1),
-        ),
-        _lines(
-            most_sold(segments),
-            SUMMARY,
-            F.concat(F.lit("most demanded segment: "), segment),
-            F.col("transaction_id"),
-            F.concat(percent(sold_share), F.lit(" of transactions")),
-            F.lit(2),
-            sold_share,
-        ),
-        _lines(
-            best_truck(sales),
-            SUMMARY,
-            F.concat(F.lit("best truck: "), truck),
-            revenue,
-            money(revenue),
-            F.lit(3),
-        ),
-        _lines(
-            worst_truck(sales),
-            SUMMARY,
-            F.concat(F.lit("worst truck: "), truck),
-            revenue,
-            money(revenue),
-            F.lit(4),
-        ),
-        _lines(
-            below_percentile(by_truck),
-            UNDERPERFORMERS,
-            truck,
-            pounds(pence),
-            money(pounds(pence)),
-            pence,
-        ),
-        _lines(velocity, VELOCITY, truck, pounds(rate), hourly_rate(pounds(rate)), -rate),
-        _lines(
-            segments,
-            SEGMENTS,
-            segment,
-            revenue,
-            F.concat(money(revenue), F.lit(", "), percent(revenue_share)),
-            segment_rank(segment),
-            revenue_share,
-        ),
-        _lines(
-            most_earning(segments),
-            INSIGHTS,
-            F.concat(F.lit("dominant segment: "), segment),
-            revenue,
-            F.concat(percent(revenue_share), F.lit(" of revenue")),
-            F.lit(1),
-            revenue_share,
-        ),
+    segments = price_segmentation(sales).withColumn("rank", segment_rank(F.col("price_segment")))
+    poor = below_percentile(pence_by_truck(sales))
+    demanded, dominant = most_sold(segments), most_earning(segments)
+    in_sales, in_revenue = "percentage_of_transactions", "percentage_of_revenue"
+    demanded_label = "'most demanded segment: ' || price_segment"
+    dominant_label = "'dominant segment: ' || price_segment"
+    lines = [
+        _lines(total_pence(sales), "summary", "1", "'total revenue'", "pence / 100"),
+        _lines(demanded, "summary", "2", demanded_label, "transaction_id", in_sales),
+        _lines(best_truck(sales), "summary", "3", "'best truck: ' || truck_name", "total_pounds"),
+        _lines(worst_truck(sales), "summary", "4", "'worst truck: ' || truck_name", "total_pounds"),
+        _lines(poor, "underperformers", "pence", "truck_name", "pence / 100"),
+        _lines(hourly_pence(sales), "velocity", "-hourly_pence", "truck_name", "hourly_pence / 100"),
+        _lines(segments, "segments", "rank", "price_segment", "total_pounds", in_revenue),
+        _lines(dominant, "insights", "1", dominant_label, "total_pounds", in_revenue),
     ]
-    lines = sections[0]
-    for section in sections[1:]:
-        lines = lines.unionByName(section)
-    return lines
+    return reduce(DataFrame.union, lines).withColumn("display", _display())
 
 
 def daily_report(star: Star, as_of: date) -> DataFrame:
