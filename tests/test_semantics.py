@@ -5,14 +5,17 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import at, rows
 from tillroll.functions import (
+    day_text,
+    hour_of_day,
     hourly_rate,
     money,
     percent,
     percentage_difference,
     price_segment,
     ratio,
+    sale_date,
     segment_rank,
     timestamp_text,
 )
@@ -22,7 +25,16 @@ from tillroll.operators.filters import previous_day, selected
 from tillroll.operators.star import as_measures, roll_up, star_join
 from tillroll.plans.dashboard import dashboard, kpi_metrics, open_dashboard
 from tillroll.plans.report import NoSales, daily_report
-from tillroll.schemas import SEGMENTS, Star
+from tillroll.schemas import SEGMENTS, TRANSACTION, Star
+from tillroll.sources import (
+    new_folder,
+    read_csv,
+    read_mark,
+    read_transactions,
+    write_csv,
+    write_mark,
+    write_transactions,
+)
 
 LOW, MEDIUM, HIGH = (label for label, _ in SEGMENTS)
 NOON = "2024-01-15 12:00:00"
@@ -289,3 +301,27 @@ def test_known_report_arithmetic(fleet):
     assert total == pytest.approx(sum(r[2] for r in segments.values()))
     assert segments[LOW][2] == 1727.72
     assert segments[LOW][4] == pytest.approx(100 * 1727.72 / total)
+
+
+def test_times_mean_the_same_in_every_session_zone(spark, facts, lake):
+    """02:30 on that day does not exist in New York."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    sale = (1, 1, 1, 100, "2024-03-10 02:30:00.000001")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        fact = facts(sale)
+        seen = fact.select(
+            hour_of_day(F.col("at")), sale_date(F.col("at")), timestamp_text(F.col("at")),
+            day_text(sale_date(F.col("at"))),
+        ).first()
+        assert tuple(seen) == (2, date(2024, 3, 10), "2024-03-10 02:30:00", "2024-03-10")
+        path = new_folder(spark, "csv")
+        write_csv(fact, path)
+        assert rows(read_csv(spark, path, TRANSACTION)) == rows(fact)
+        write_transactions(fact, lake, "overwrite")
+        landed = previous_day(read_transactions(spark, lake), date(2024, 3, 11))
+        assert landed.first()["at"] == at(sale[4])
+        write_mark(spark, lake, at(sale[4]))
+        assert read_mark(spark, lake, "2020-01-01").first()["mark"] == at(sale[4])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

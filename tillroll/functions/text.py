@@ -29,8 +29,11 @@ def hourly_rate(value: Column) -> Column:
 
 
 def timestamp_text(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    """Whole seconds, as yyyy-MM-dd HH:mm:ss. `date_format` would go through the session
+    time zone and move a time that does not exist there."""
+    return F.left(at.cast("timestamp_ntz").cast("string"), F.lit(19))
 
 
 def day_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    """yyyy-MM-dd"""
+    return day.cast("string")
