@@ -19,8 +19,9 @@ class TableSource:
 
     A database is `TableSource("jdbc", options={"url": ..., "dbtable": ...})`; for a
     large table also set `partitionColumn`, `lowerBound`, `upperBound` and
-    `numPartitions`, so that executors read slices in parallel. Files whose layout is
-    known should name it in `layout`, which saves the job that reads it from footers.
+    `numPartitions`, so that executors read slices in parallel, and `preferTimestampNTZ`,
+    so that bounds on the sale time are left to the database. Files whose layout is known
+    should name it in `layout`, which saves the job that reads it from footers.
     """
 
     format: str

@@ -14,6 +14,9 @@ from tillroll.schemas import TRANSACTION
 from tillroll.sources.lake import Lake
 
 
+FILES_PER_BATCH = "1000"
+
+
 def land_batch(batch: DataFrame, lake: Lake) -> None:
     """Append one micro-batch, each sale once however often it was delivered.
 
@@ -38,10 +41,12 @@ def land_stream(
     """Land every file not seen before, then stop; the checkpoint remembers them.
 
     There is no watermark: it would drop sales that arrive late, and what has to be
-    remembered to recognise repeats is in the lake, not in streaming state. Pass
-    `maxFilesPerTrigger` or `maxBytesPerTrigger` to bound a batch, and `pathGlobFilter`
-    to pick files; `to_fact` maps other layouts to the fact's columns.
+    remembered to recognise repeats is in the lake, not in streaming state. A backlog is
+    taken in batches of bounded size; `maxFilesPerTrigger` or `maxBytesPerTrigger` set
+    another bound. `to_fact` maps other layouts to the fact's columns.
     """
+    if not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options):
+        options["maxFilesPerTrigger"] = FILES_PER_BATCH
     arriving = spark.readStream.schema(schema).options(**options).parquet(path)
     fact = to_fact(arriving) if to_fact else arriving
     return (
