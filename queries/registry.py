@@ -74,8 +74,17 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    return named(function.__name__)(function)
+
+
+def named(name: str) -> Callable[[Query], Query]:
+    """Register under a name that is taken in this module."""
+
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
 
 
 def _new_lake(spark: SparkSession) -> Lake:
@@ -201,14 +210,11 @@ def clean_validity(spark, sf_dir):
     return valid_rows(raw_star(spark, sf_dir).fact)
 
 
-@query
+@named("clean_transactions")
 def clean_transactions_job(spark, sf_dir):
     return clean_transactions(raw_star(spark, sf_dir).fact)
 
 
-QUERIES["clean_transactions"] = QUERIES.pop("clean_transactions_job")
-
-
 # --- derived columns -------------------------------------------------------------------
 
 
@@ -244,16 +250,13 @@ def derive_hour(spark, sf_dir):
     )
 
 
-@query
+@named("price_segment")
 def price_segment_of_sale(spark, sf_dir):
     return _events(spark, sf_dir).select(
         "transaction_id", "total", price_segment(F.col("total")).alias("price_segment")
     )
 
 
-QUERIES["price_segment"] = QUERIES.pop("price_segment_of_sale")
-
-
 # --- filters and joins -----------------------------------------------------------------
 
 
@@ -279,14 +282,11 @@ def selected_avg_amount_by_hour(spark, sf_dir):
     return metrics.average_amount_by_hour(sales, SELECTED)
 
 
-@query
+@named("star_join")
 def star_join_rows(spark, sf_dir):
     return star_join(events_star(spark, sf_dir))
 
 
-QUERIES["star_join"] = QUERIES.pop("star_join_rows")
-
-
 @query
 def star_join_previous_day(spark, sf_dir):
     return star_join(on_previous_day(events_star(spark, sf_dir), AS_OF))
