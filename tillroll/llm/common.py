@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -20,6 +23,26 @@ LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MASK = (1 << 64) - 1
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors of a session, once, as one archive.
+
+    Tasks load functions by name, so they need it wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def map_rows(
     df: DataFrame, columns: Iterable[Column | str], schema: str, make: Callable[[], Callable]
 ) -> DataFrame:
@@ -40,6 +63,7 @@ def map_rows(
                     [pa.array(v, f.type) for v, f in zip(made, arrow, strict=True)], schema=arrow
                 )
 
+    ship(df.sparkSession)
     return df.select(*columns).mapInArrow(run, schema)
 
 

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import LOWER_ASCII, map_rows, utf8
+from tillroll.llm.common import LOWER_ASCII, map_rows, ship, utf8
 from tillroll.sources.shared import stage
 
 #: Windows whose words are sent to the executors at once.
@@ -192,6 +192,7 @@ def shingle_frequency(docs: DataFrame, text: str, held) -> dict[int, np.ndarray]
                 names=["k", "at", "n"],
             )
 
+    ship(docs.sparkSession)
     rows = (
         docs.select(text)
         .mapInArrow(count, "k int, at bigint, n bigint")

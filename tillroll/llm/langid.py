@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import LETTER, bounded_sample, gram_buckets, letter_codes, map_rows
+from tillroll.llm.common import LETTER, bounded_sample, gram_buckets, letter_codes, map_rows, ship
 
 BITS = 12
 GRAMS = (1, 2, 3)
@@ -88,6 +88,7 @@ def document_frequency(docs: DataFrame, text: str = "text") -> tuple[np.ndarray,
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["at", "n"])
 
+    ship(docs.sparkSession)
     rows = (
         docs.select(text)
         .mapInArrow(count, "at bigint, n bigint")

@@ -224,16 +224,29 @@ def remaining_links(
         .select("id", "root", "n", F.posexplode("head.token").alias("place", "token"), "own")
         .withColumn("place", F.col("place") + F.col("own"))
     )
-    one = heads.select("token", *(F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "place")))
-    other = heads.select("token", *(F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "place")))
-    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    heads = stage(heads.drop("own"))
+    # A pair of 0.75 shares 3/7 of both sizes. Its first common token therefore leaves that much
+    # behind it in both sets, which rules out most sizes before any pair is made: a token far
+    # back leads to smaller sets only, and those must have it further ahead.
+    share = 3 * (F.col("n") + F.col("n_b"))
+    sizes = heads.groupBy("token", F.col("n").alias("n_b")).agg(F.min("place").alias("place_b"))
+    reach = (
+        heads.join(sizes, "token")
+        .where((7 * (F.col("n") - F.col("place")) >= share) & (7 * (F.col("n_b") - F.col("place_b")) >= share))
+        .select(F.col("id").alias("a"), F.col("root").alias("root_a"), "n", "token", "n_b")
+    )
+    other = heads.select(
+        "token",
+        F.col("n").alias("n_b"),
+        F.col("id").alias("b"),
+        F.col("root").alias("root_b"),
+        F.col("place").alias("place_b"),
+    )
     pairs = (
-        one.join(other, "token")
-        .where("id_a > id_b and root_a <> root_b")
-        .where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
-        # overlap needed for 0.75 is 3/7 of both sizes; shared tokens before this one are few
-        .where(7 * (rest + F.least("place_a", "place_b")) >= 3 * (F.col("n_a") + F.col("n_b")))
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+        reach.join(other, ["token", "n_b"])
+        .where((F.col("a") > F.col("b")) & (F.col("root_a") != F.col("root_b")))
+        .where(7 * (F.col("n_b") - F.col("place_b")) >= share)
+        .select("a", "b")
         .distinct()
     )
     return confirmed(pairs, docs, key, text)
