@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import LOWER_ASCII, map_rows, ship, utf8
@@ -261,7 +261,7 @@ def overlaps(
     return out
 
 
-def contaminated(found: DataFrame):
+def contaminated() -> Column:
     """The rule: something is hit, and at least a twentieth of the words."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
@@ -291,17 +291,21 @@ def report(
         .agg(F.sort_array(F.collect_set("item")).alias("its"))
         .select("same", F.size("its").cast("long").alias("n_items"), F.array_join("its", ",").alias("its"))
     )
-    return found.join(sets, "same", "left").select(
+    clean = found.where(F.size("wins") == 0).withColumns(
+        {"n_items": F.lit(0).cast("long"), "its": F.lit("")}
+    )
+    hit = found.where(F.size("wins") > 0).join(sets, "same")
+    return clean.unionByName(hit).select(
         key,
         "n_words",
         "n_hit",
-        F.coalesce("n_items", F.lit(0)).alias("n_items"),
-        F.sha2(F.coalesce("its", F.lit("")), 256).alias("items_sha256"),
-        contaminated(found).alias("contaminated"),
+        "n_items",
+        F.sha2("its", 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 13) -> DataFrame:
     """Rows of `docs`, with all columns, that the rule does not find contaminated."""
     found = overlaps(docs, items, size, carry=tuple(c for c in docs.columns if c != "doc_id"))
-    return found.where(~contaminated(found)).select(*docs.columns)
+    return found.where(~contaminated()).select(*docs.columns)

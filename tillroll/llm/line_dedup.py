@@ -123,6 +123,7 @@ def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .where(F.struct("doc", "pos") > F.col("first"))
             .select("doc", F.explode(F.expr("sequence(pos, pos + length - 1)")).alias("pos"))
         )
+        copies = stage(copies.distinct())
         later = copies if later is None else later.union(copies)
         if 2 * size <= longest:
             # a run too short for twice the length has no stretch that needs it
@@ -146,8 +147,9 @@ def dedup_lines(
 
     Kept lines are cut out as slices between the deleted ones, in one pass over the text.
     """
+    lines = stage(lines_of(docs, key, text))  # read twice, and texts are long
     gone = (
-        repeated_lines(lines_of(docs, key, text), min_words)
+        repeated_lines(lines, min_words)
         .groupBy("doc")
         .agg(F.sort_array(F.collect_set("at")).alias("__gone"))
         .select(F.col("doc.id").alias("__id"), F.col("doc.own").alias("__own"), "__gone")
