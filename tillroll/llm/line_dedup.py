@@ -71,6 +71,12 @@ def _groups(suffixes: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def _sorted(df: DataFrame) -> DataFrame:
+    """The side of a join, to be shuffled and sorted at any size: dozens of joins follow one
+    another, and the driver would hold a broadcast table for each."""
+    return df.hint("merge")
+
+
 def _stretches(active: DataFrame, min_words: int) -> DataFrame:
     """(doc, pos, length) of the shortest stretches of enough words that begin or end at a line.
 
@@ -104,7 +110,7 @@ def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, at) of every line in a repeated run that also stands at an earlier place."""
     names = _groups(lines, "a", "b").withColumnRenamed("first", "rank")
     active = stage(
-        lines.join(names, ["a", "b"]).select("doc", "pos", "at", "words", "rank").distinct()
+        lines.join(_sorted(names), ["a", "b"]).select("doc", "pos", "at", "words", "rank").distinct()
     )
     stretches = stage(_stretches(active, min_words))
     longest = stretches.agg(F.max("length")).first()[0] or 0
@@ -114,12 +120,12 @@ def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         mine = (
             stretches.where((F.col("length") >= size) & (F.col("length") < 2 * size))
             .withColumn("tail", F.col("pos") + F.col("length") - size)
-            .join(ranks, ["doc", "pos"])
-            .join(tail, ["doc", "tail"])
+            .join(_sorted(ranks), ["doc", "pos"])
+            .join(_sorted(tail), ["doc", "tail"])
         )
         same = ["rank", "rank_tail", "length"]
         copies = (
-            mine.join(_groups(mine, *same), same)
+            mine.join(_sorted(_groups(mine, *same)), same)
             .where(F.struct("doc", "pos") > F.col("first"))
             .select("doc", F.explode(F.expr("sequence(pos, pos + length - 1)")).alias("pos"))
         )
@@ -128,10 +134,10 @@ def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         if 2 * size <= longest:
             # a run too short for twice the length has no stretch that needs it
             next_ = tail.select("doc", (F.col("tail") - size).alias("pos"), "rank_tail")
-            pairs = ranks.join(next_, ["doc", "pos"])
+            pairs = ranks.join(_sorted(next_), ["doc", "pos"])
             doubled = _groups(pairs, "rank", "rank_tail")
             ranks = stage(
-                pairs.join(doubled, ["rank", "rank_tail"]).select("doc", "pos", F.col("first").alias("rank"))
+                pairs.join(_sorted(doubled), ["rank", "rank_tail"]).select("doc", "pos", F.col("first").alias("rank"))
             )
         size *= 2
     if later is None:
