@@ -1,6 +1,6 @@
 """Byte-pair encoding and decoding with a given vocabulary of words.
 
-Each short word is held as one string with a list of part boundaries and a second list of
+Each short word is held as a list of its parts, one for each boundary, and a second list of
 the ranks of adjacent parts. The smallest rank is looked for again and again; its boundary
 goes, and only the two neighbouring ranks are looked up anew. Both lists are contiguous and
 a word has a dozen letters, so the scan beats a heap. Very long words take a heap over the
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 import unicodedata
 from functools import lru_cache
 from hashlib import sha256
@@ -27,7 +28,7 @@ from tillroll.llm.common import map_rows
 #: Words longer than this are merged through a heap.
 LONG_WORD = 512
 #: Encoded words that a task keeps; when full, it starts again.
-WORDS_KEPT = 150_000
+WORDS_KEPT = 200_000
 _NONE = 1 << 60
 
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]")
@@ -48,87 +49,101 @@ class WordBpe:
 
     def __init__(self, data: bytes) -> None:
         spec = json.loads(data)
-        model = spec["model"]
-        self.ids: dict[str, int] = model["vocab"]
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.ranks = {(a, b): i for i, (a, b) in enumerate(pairs)}
-        self.end = model["end_of_word_suffix"]
+        model, letters, end = spec["model"], byte_letters(), spec["model"]["end_of_word_suffix"]
+        ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in (self.ids | self.special).items()}
-        self.letters = byte_letters()
+        self.tokens = {i: t for t, i in (ids | self.special).items()}
+        self.inner, self.last = [ids[c] for c in letters], [ids[c + end] for c in letters]
+        self.ranks: dict[int, int] = {}
+        self.merged: list[int] = []
+        for rank, merge in enumerate(model["merges"]):
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            self.ranks.setdefault(ids[left] << 20 | ids[right], rank)
+            self.merged.append(ids[left + right])
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(pattern)
         self.specials = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
         self.known: dict[str, bytes] = {}
-
-    def parts(self, word: str) -> list[str]:
-        """Split one word, already in byte letters, into tokens."""
-        if len(word) > LONG_WORD:
-            return self._parts_of_long(word)
-        text, get = word + self.end, self.ranks.get
-        bounds = [*range(len(word)), len(text)]
-        ranks = [
-            get((text[bounds[i] : bounds[i + 1]], text[bounds[i + 1] : bounds[i + 2]]), _NONE)
-            for i in range(len(bounds) - 2)
-        ]
-        while ranks and (least := min(ranks)) < _NONE:
+        self.known_pieces: dict[str, bytes] = {}
+
+    def parts(self, word: bytes) -> list[int]:
+        """Merge the bytes of one word into tokens.
+
+        Each entry of `parts` begins at a boundary; deleting one deletes its boundary.
+        """
+        parts = [self.inner[b] for b in word[:-1]]
+        parts.append(self.last[word[-1]])
+        if len(parts) > LONG_WORD:
+            return self._merged_by_heap(parts)
+        get = self.ranks.get
+        ranks = [get(a << 20 | b, _NONE) for a, b in zip(parts, parts[1:])]
+        while ranks and (least := min(ranks)) != _NONE:
             i = ranks.index(least)
-            del bounds[i + 1], ranks[i]
-            for j in (i - 1, i):
-                if 0 <= j < len(ranks):
-                    left, right = text[bounds[j] : bounds[j + 1]], text[bounds[j + 1] : bounds[j + 2]]
-                    ranks[j] = get((left, right), _NONE)
-        return [text[a:b] for a, b in zip(bounds, bounds[1:])]
-
-    def _parts_of_long(self, word: str) -> list[str]:
-        """The same merges, for words where scanning again and again would be slow."""
-        parts: list[str | None] = [*word[:-1], word[-1] + self.end]
-        before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
-        heap = [
-            (r, i, parts[i], parts[i + 1])
-            for i in range(len(parts) - 1)
-            if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None
-        ]
-        heapq.heapify(heap)
+            parts[i] = self.merged[least]
+            del parts[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get(parts[i - 1] << 20 | parts[i], _NONE)
+            if i < len(ranks):
+                ranks[i] = get(parts[i] << 20 | parts[i + 1], _NONE)
+        return parts
+
+    def _merged_by_heap(self, parts: list[int]) -> list[int]:
+        """The same merges in the same order, for words too long to scan again and again."""
+        n, gone = len(parts), -1
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap: list[tuple[int, int, int]] = []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < n:
+                pair = parts[i] << 20 | parts[after[i]]
+                if (rank := self.ranks.get(pair)) is not None:
+                    heapq.heappush(heap, (rank, i, pair))
+
+        for i in range(n - 1):
+            offer(i)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != left or j >= len(parts) or parts[j] != right:
+            if j >= n or parts[i] == gone or parts[i] << 20 | parts[j] != pair:
                 continue
-            parts[i], parts[j] = left + right, None
+            parts[i], parts[j] = self.merged[rank], gone
             after[i] = after[j]
-            if after[i] < len(parts):
+            if after[i] < n:
                 before[after[i]] = i
-            for a in (before[i], i):
-                b = after[a] if a >= 0 else len(parts)
-                if b < len(parts) and (r := self.ranks.get((parts[a], parts[b]))) is not None:
-                    heapq.heappush(heap, (r, a, parts[a], parts[b]))
-        return [p for p in parts if p is not None]
+            offer(before[i])
+            offer(i)
+        return [p for p in parts if p != gone]
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.known_pieces.get(piece)
+        if found is None:
+            parts = self.parts(piece.encode("utf-8", "surrogatepass"))
+            found = struct.pack(f"<{len(parts)}I", *parts)
+            if len(self.known_pieces) >= WORDS_KEPT:
+                self.known_pieces.clear()
+            self.known_pieces[piece] = found
+        return found
 
     def chunk(self, chunk: str) -> bytes:
         """Ids, as bytes, of what stands between white space."""
-        if (found := self.known.get(chunk)) is not None:
-            return found
-        tokens = [
-            part
-            for piece in self.pieces.findall(chunk)
-            for part in self.parts("".join(self.letters[b] for b in piece.encode()))
-        ]
-        ids = np.array([self.ids[t] for t in tokens], "<u4").tobytes()
-        if len(self.known) >= WORDS_KEPT:
-            self.known.clear()
-        self.known[chunk] = ids
-        return ids
+        if chunk.isalpha():
+            return self._piece(chunk)  # one piece, and kept as such
+        if (found := self.known.get(chunk)) is None:
+            found = b"".join(map(self._piece, self.pieces.findall(chunk)))
+            if len(self.known) >= WORDS_KEPT:
+                self.known.clear()
+            self.known[chunk] = found
+        return found
 
     def _plain(self, text: str) -> list[bytes]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ").lower()
         chunks = filter(None, _SPACES.split(text)) if _SEPARATORS.search(text) else text.split()
-        known, slow = self.known, self.chunk
-        return [known.get(c) or slow(c) for c in chunks]
+        known, pieces, slow = self.known.get, self.known_pieces.get, self.chunk
+        return [pieces(c) or known(c) or slow(c) for c in chunks]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
