@@ -32,7 +32,7 @@ DIMENSIONS = 8
 WINDOW = 16
 STRIDE = 8
 #: Labelled documents of each class that the model is fitted on at most, in expectation.
-FIT_ROWS = 1500
+FIT_ROWS = 1200
 #: Longer labelled documents are left out of the fit; every document is scored whole.
 FIT_CHARS = 20_000
 EPOCHS = 12
@@ -124,7 +124,11 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
 
     def scores() -> np.ndarray:
         weight = SCALE * table @ (soft[:, 1] - soft[:, 0])
-        return np.add.reduceat(weight[grams], edge[:-1]) / length + offset[1] - offset[0]
+        sums = [
+            np.add.reduceat(weight[grams[edge[w] : edge[min(w + 4096, len(doc))]]], edge[w : w + 4096][: len(doc) - w] - edge[w])
+            for w in range(0, len(doc), 4096)
+        ]
+        return np.concatenate(sums) / length + offset[1] - offset[0]
 
     def best(chosen: np.ndarray, by: np.ndarray) -> np.ndarray:
         """Of each document, its window with the highest value."""
