@@ -114,35 +114,36 @@ def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     stretches = stage(_stretches(active, min_words))
     longest = stretches.agg(F.max("length")).first()[0] or 0
-    ranks, size, later = active.select("doc", "pos", "rank"), 1, None
-    while size <= longest:
-        tail = ranks.select("doc", F.col("pos").alias("tail"), F.col("rank").alias("rank_tail"))
-        mine = (
-            stretches.where((F.col("length") >= size) & (F.col("length") < 2 * size))
-            .withColumn("tail", F.col("pos") + F.col("length") - size)
-            .join(_sorted(ranks), ["doc", "pos"])
-            .join(_sorted(tail), ["doc", "tail"])
+    ranks, size = active.select("doc", "pos", "rank"), 1
+    levels = ranks.withColumn("size", F.lit(1))
+    while 2 * size <= longest:
+        ahead = Window.partitionBy("doc").orderBy("pos").rangeBetween(size, size)
+        pairs = ranks.withColumn("rank_tail", F.first("rank").over(ahead)).where("rank_tail is not null")
+        doubled = _groups(pairs, "rank", "rank_tail")
+        ranks = stage(
+            pairs.join(_sorted(doubled), ["rank", "rank_tail"]).select("doc", "pos", F.col("first").alias("rank"))
         )
-        same = ["rank", "rank_tail", "length"]
-        copies = (
-            mine.join(_sorted(_groups(mine, *same)), same)
-            .where(F.struct("doc", "pos") > F.col("first"))
-            .select("doc", F.explode(F.expr("sequence(pos, pos + length - 1)")).alias("pos"))
-        )
-        copies = stage(copies.distinct())
-        later = copies if later is None else later.union(copies)
-        if 2 * size <= longest:
-            # a run too short for twice the length has no stretch that needs it
-            next_ = tail.select("doc", (F.col("tail") - size).alias("pos"), "rank_tail")
-            pairs = ranks.join(_sorted(next_), ["doc", "pos"])
-            doubled = _groups(pairs, "rank", "rank_tail")
-            ranks = stage(
-                pairs.join(_sorted(doubled), ["rank", "rank_tail"]).select("doc", "pos", F.col("first").alias("rank"))
-            )
         size *= 2
-    if later is None:
-        return active.select("doc", "at").limit(0)
-    return active.select("doc", "pos", "at").join(later.distinct(), ["doc", "pos"]).select("doc", "at")
+        levels = levels.union(ranks.withColumn("size", F.lit(size)))
+    # the first and the last lines of a stretch, the largest power of two of them, overlap and
+    # so name the whole
+    halves = stretches.withColumn("size", F.expr("shiftleft(1, length(bin(length)) - 1)"))
+    tails = levels.select("doc", F.col("pos").alias("tail"), "size", F.col("rank").alias("rank_tail"))
+    named = stage(
+        halves.withColumn("tail", F.col("pos") + F.col("length") - F.col("size"))
+        .join(_sorted(levels), ["doc", "pos", "size"])
+        .join(_sorted(tails), ["doc", "tail", "size"])
+        .select("doc", "pos", "rank", "rank_tail", "length")
+    )
+    same = ["rank", "rank_tail", "length"]
+    later = (
+        named.join(_sorted(_groups(named, *same)), same)
+        .where(F.struct("doc", "pos") > F.col("first"))
+        .select("doc", F.explode(F.expr("sequence(pos, pos + length - 1)")).alias("pos"))
+        .distinct()
+    )
+    places = active.select("doc", "pos", "at")
+    return places.join(_sorted(later), ["doc", "pos"]).select("doc", "at")
 
 
 def dedup_lines(
