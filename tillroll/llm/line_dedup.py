@@ -62,8 +62,11 @@ def lines_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def _groups(suffixes: DataFrame, *by: str) -> DataFrame:
-    """The first place of each group that has more than one member."""
-    return (
+    """The first place of each group that has more than one member.
+
+    On disk, so that a join with it shuffles both sides and a hot group can be split.
+    """
+    return stage(
         suffixes.groupBy(*by)
         .agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n"))
         .where("n > 1")
