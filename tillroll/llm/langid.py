@@ -142,15 +142,14 @@ def fit(
 
     def make():
         def work(langs, texts):
-            return langs, [vector(t, held.value) for t in texts]
+            return langs, [vector(t, held.value).astype(np.float32).tobytes() for t in texts]
 
         return work
 
     some = bounded_sample(docs.select(key, text, lang), key, each, by=lang)
-    got = map_rows(some, [lang, text], "lang string, v array<float>", make).toPandas()
-    got["order"] = [tuple(v[:64]) for v in got["v"]]
-    got = got.sort_values(["lang", "order"])
-    vectors = np.array(got["v"].tolist(), np.float32).reshape(len(got), 1 << BITS)
+    got = map_rows(some, [lang, text], "lang string, v binary", make).toPandas()
+    got = got.sort_values(["lang", "v"])
+    vectors = np.frombuffer(b"".join(got["v"]), np.float32).reshape(len(got), 1 << BITS)
     kept = vectors.any(axis=1)
     return train(vectors[kept], [x for x, k in zip(got["lang"], kept) if k], idf)
 

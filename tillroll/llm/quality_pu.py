@@ -194,7 +194,8 @@ def fit(
     Only label 1 is read. Statistics are made in the tasks; no text comes to the driver.
     """
     good = bounded_sample(labels.where(F.col(label) == 1), key, rows).select(F.col(key).alias("_key"))
-    trusted = docs.join(good, F.col(key) == F.col("_key"))
+    # by construction a few thousand ids, however large the tables are
+    trusted = docs.join(F.broadcast(good), F.col(key) == F.col("_key"))
     some = bounded_sample(docs.select(key, text), key, rows)
     frames = [with_statistics(d, key, text).select("features").toPandas() for d in (trusted, some)]
     made = [np.array(sorted(map(tuple, f["features"]))).reshape(-1, N_FEATURES) for f in frames]

@@ -231,7 +231,8 @@ def fit(
     """Learn from the counts of a bounded sample of labelled rows; texts stay in the tasks."""
     some = bounded_sample(labels.where(F.col(label).isin(0, 1)), key, rows, by=label)
     some = some.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
-    found = docs.select(key, text).join(some, F.col(key) == F.col("_key"))
+    # by construction a few thousand ids, however large the tables are
+    found = docs.select(key, text).join(F.broadcast(some), F.col(key) == F.col("_key"))
     got = with_facts(found, key, text, carry=("_label",)).drop(key).toPandas()
     got = got.sort_values(["_label", *COUNTS])
     return learn(got[[*COUNTS]].to_numpy(np.int64), got["_label"].to_numpy() == 0)

@@ -196,7 +196,9 @@ def fit(
     """
     chosen = bounded_sample(labels.where(F.col(label).isin(0, 1)), key, rows, by=label)
     chosen = chosen.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
-    found = docs.where(F.char_length(text) <= FIT_CHARS).join(chosen, F.col(key) == F.col("_key"))
+    # by construction a few thousand ids, however large the tables are
+    short = docs.where(F.char_length(text) <= FIT_CHARS)
+    found = short.join(F.broadcast(chosen), F.col(key) == F.col("_key"))
     got = found.select("_label", F.col(text).alias("_text")).toPandas()
     got = got.sort_values(["_label", "_text"])
     return train(got["_text"].tolist(), got["_label"].tolist())
