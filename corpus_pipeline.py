@@ -16,23 +16,38 @@ from tillroll.llm.queries import VOCABULARY, table
 from tillroll.sources.shared import new_folder
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str, str, tuple[str, ...]]:
+    """`docs` with columns named by number, so that no name clashes with an operator's: the
+    frame, the names of doc_id and text in it, and the others."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    key, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
+    return docs.toDF(*names), key, text, tuple(n for n in names if n != key)
+
+
+def named_again(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    return kept.select(*(f"_c{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier finds toxic go. It learns from the labelled ones among
     `docs`, and judges all of them."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.predict(docs, model, carry=tuple(c for c in docs.columns if c != "doc_id"))
-    return scored.where("score < 0.5").select(*docs.columns)
+    plain, key, text, others = numbered(docs)
+    scored = toxicity.predict(plain, model, key, text, carry=others)
+    return named_again(scored.where("score < 0.5"), docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of lines go, and documents that had nothing else."""
-    done = line_dedup.dedup_lines(docs)
-    left = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    plain, key, text, _ = numbered(docs)
+    done = line_dedup.dedup_lines(plain, key=key, text=text)
+    left = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = done.where((F.col("n_deleted") == 0) | left)
     if "n_chars" in docs.columns:
-        chars = F.when(F.col("n_deleted") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        kept = kept.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        n_chars = f"_c{docs.columns.index('n_chars')}"
+        chars = F.when(F.col("n_deleted") > 0, F.char_length(text)).otherwise(F.col(n_chars))
+        kept = kept.withColumn(n_chars, chars.cast(docs.schema["n_chars"].dataType))
+    return named_again(kept, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +58,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that repeat benchmark items in a twentieth of their words or more go."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    plain, key, text, others = numbered(docs)
+    found = decontaminate.overlaps(
+        plain, table(spark, sf_dir, "benchmark"), key=key, text=text, carry=others
+    )
+    return named_again(found.where(~decontaminate.contaminated()), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -304,8 +304,3 @@ def report(
         contaminated().alias("contaminated"),
     )
 
-
-def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 13) -> DataFrame:
-    """Rows of `docs`, with all columns, that the rule does not find contaminated."""
-    found = overlaps(docs, items, size, carry=tuple(c for c in docs.columns if c != "doc_id"))
-    return found.where(~contaminated()).select(*docs.columns)
