@@ -225,7 +225,7 @@ _REPORT = (
         _PER_TRUCK,
         _SEGMENTS,
     )
-    + f"""SELECT * FROM (
+    + f"""SELECT *, DATE '{DAY}' AS report_date FROM (
 SELECT 1 AS section_no, 'summary' AS section, 1.0::DOUBLE AS sort_key,
   'total revenue' AS label, CAST(sum(total) AS BIGINT) / 100 AS value,
   CAST(NULL AS DOUBLE) AS pct, format('£{{:,.2f}}', CAST(sum(total) AS BIGINT) / 100) AS display
@@ -268,6 +268,23 @@ def _selected(sql: str) -> str:
     return f"SELECT * FROM ({sql}) WHERE {_IN_NAMES}"
 
 
+def _dashboard(of: dict[str, str]) -> str:
+    """The frames of the dashboard as lines, the charts narrowed to the selection."""
+    parts = (
+        ("best", of["kpi_metrics"], "best_truck", "NULL", "best_revenue"),
+        ("worst", of["kpi_metrics"], "worst_truck", "NULL", "worst_revenue"),
+        ("names", of["distinct_trucks"], "truck_name", "NULL", "NULL"),
+        ("cumulative", _selected(of["cumulative_revenue"]), "truck_name", "date", "cumulative_total_pounds"),
+        ("payments", _selected(of["payment_distribution"]), "truck_name", "payment_method", '"count"'),
+        ("hours", _selected(of["avg_amount_by_hour"]), "truck_name", "hour_of_day", "average_transaction_amount"),
+    )
+    return " UNION ALL ".join(
+        f"""SELECT '{widget}' AS widget, {label} AS label, CAST({detail} AS VARCHAR) AS detail,
+        CAST({value} AS DOUBLE) AS value FROM ({sql})"""
+        for widget, sql, label, detail, value in parts
+    )
+
+
 def build() -> dict[str, str]:
     of_events, of_suppliers = _metrics(_EVENTS), _metrics(_SUPPLIERS)
     raw_lines, raw_events = _with(_RAW_LINES), _with(_RAW_EVENTS)
@@ -333,6 +350,7 @@ def build() -> dict[str, str]:
         + f"""{history} UNION ALL SELECT *, {_PARTS} FROM fact WHERE "at" > {_MARK}""",
         "incremental_load_cleaned": raw_events
         + f"""{history} UNION ALL SELECT *, {_PARTS} FROM clean WHERE "at" > {_MARK}""",
+        "dashboard_view": _dashboard(of_events),
         "daily_report": _REPORT,
         "daily_report_from_lake": _REPORT,
         "stream_incremental_load": _EVENTS_LAKE + ' WHERE "at" IS NOT NULL',

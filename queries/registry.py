@@ -66,6 +66,7 @@ from tillroll.sources import (
     write_mark,
     write_transactions,
 )
+from tillroll.sources.shared import stage
 from tillroll.sources.tables import after, up_to
 from tillroll.streaming.landing import land_stream
 
@@ -142,15 +143,18 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, TRANSACTION)
 
 
+_DATABASE = "tillroll_sample"
+
+
 def _registered_lake(spark, sf_dir) -> str:
     lake = _new_lake(spark)
     star = events_star(spark, sf_dir)
     write_transactions(star.fact, lake, "overwrite")
     write_dimension(star.payment, lake.payments)
     write_dimension(star.truck, lake.trucks)
-    database = "tillroll_" + lake.root.rsplit("-", 1)[1]
-    register_lake(spark, lake, database)
-    return database
+    spark.sql(f"DROP DATABASE IF EXISTS {_DATABASE} CASCADE")
+    register_lake(spark, lake, _DATABASE)
+    return _DATABASE
 
 
 @query
@@ -396,6 +400,12 @@ def incremental_load_cleaned(spark, sf_dir):
     return read_transactions(spark, lake)
 
 
+@query
+def dashboard_view(spark, sf_dir):
+    with dashboard.open_dashboard(events_star(spark, sf_dir), SELECTED) as view:
+        return stage(dashboard.dashboard_lines(view))
+
+
 @query
 def daily_report(spark, sf_dir):
     return report.daily_report(events_star(spark, sf_dir), AS_OF)

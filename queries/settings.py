@@ -12,5 +12,6 @@ EVENTS_CUTOFF = "2024-01-20 12:00:00"
 FIRST_CUSTOMER, LAST_CUSTOMER = 1, 2**62
 VALID_METHODS = (1, 3)
 
-TRUCK = "JAPAN"
-SELECTED = ("BRAZIL", "CHINA", "JAPAN", "KENYA", "PERU")
+# Trucks are named like nations.
+TRUCK = "NATION_12"
+SELECTED = ("NATION_2", "NATION_7", "NATION_12", "NATION_18", "NATION_21")

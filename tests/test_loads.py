@@ -22,6 +22,7 @@ from tillroll.sources import (
     read_transactions,
     register_lake,
     write_dimension,
+    write_mark,
     write_transactions,
 )
 from tillroll.sources.tables import TableSource
@@ -224,13 +225,40 @@ def test_stream_query_reads_a_table_of_several_files(spark, sf_dir):
     assert landed.count() == events.count()
 
 
-def test_a_sale_without_id_lands_once_per_time(spark, facts, lake):
+def test_sales_without_an_id_differ_by_any_column(spark, facts, lake):
     first, second = (None, 1, 1, 5, "2024-01-12 07:00:00"), (None, 1, 1, 5, "2024-01-12 07:00:01")
+    other = (None, 2, 1, 5, "2024-01-12 07:00:00")  # the same instant, another truck
     zero = (0, 1, 1, 5, "2024-01-12 07:00:00")  # not the same as no id
-    for batch in ((first,), (first, first, second, zero), (zero, second)):
+    for batch in ((first, other), (first, first, second, zero), (zero, second, other)):
         land_batch(facts(*batch), lake)
-    landed = [(r["transaction_id"], r["at"].second) for r in read_transactions(spark, lake).collect()]
-    assert sorted(landed, key=repr) == [(0, 0), (None, 0), (None, 1)]
+    landed = read_transactions(spark, lake).collect()
+    found = [(r["transaction_id"], r["truck_id"], r["at"].second) for r in landed]
+    assert sorted(found, key=repr) == sorted(
+        [(0, 1, 0), (None, 1, 0), (None, 1, 1), (None, 2, 0)], key=repr
+    )
+
+
+def test_a_crash_in_writing_the_mark_keeps_the_old_one(spark, lake, monkeypatch):
+    write_mark(spark, lake, at("2024-01-12 07:00:00"))
+    write_mark(spark, lake, at("2024-01-11 07:00:00"))  # a rewind counts too
+    assert mark(spark, lake) == at("2024-01-11 07:00:00")
+    with monkeypatch.context() as patch:
+        patch.setattr("pyspark.sql.DataFrameWriter.parquet", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write_mark(spark, lake, at("2024-01-13 07:00:00"))
+    assert mark(spark, lake) == at("2024-01-11 07:00:00")
+
+
+def test_the_catalog_forgets_days_that_are_gone(spark, facts, lake):
+    both = facts((1, 1, 1, 5, "2024-01-12 07:00:00"), (2, 1, 1, 5, "2024-01-13 07:00:00"))
+    write_transactions(both, lake, "overwrite")
+    database = f"gone_{lake.root.rsplit('-', 1)[1]}"
+    register_lake(spark, lake, database)
+    write_transactions(both.where("transaction_id = 1"), lake, "overwrite")
+    register_lake(spark, lake, database)
+    days = [r[0] for r in spark.sql(f"SHOW PARTITIONS {database}.transaction_table").collect()]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    assert days == ["year=2024/month=1/day=12"]
 
 
 def test_landing_shuffles_a_batch_once_before_the_write(spark, facts, lake, monkeypatch):

@@ -22,7 +22,7 @@ from tillroll.functions import (
 from tillroll.operators import metrics, ranking
 from tillroll.operators.clean import Validity, clean_transactions, drop_nulls
 from tillroll.operators.filters import previous_day, selected
-from tillroll.operators.star import as_measures, roll_up, star_join
+from tillroll.operators.star import as_measures, by_name, roll_up, star_join
 from tillroll.plans.dashboard import dashboard, kpi_metrics, open_dashboard
 from tillroll.plans.report import NoSales, daily_report
 from tillroll.schemas import SEGMENTS, TRANSACTION, Star
@@ -216,12 +216,12 @@ def test_selection(fleet):
     sales = star_join(star)
     assert rows(selected(sales, [])) == []
     assert selected(sales, None).count() == 2
-    narrowed = dashboard(as_measures(sales), ["B"])
+    narrowed = dashboard(as_measures(sales), as_measures(sales), ["B"])
     assert [r["truck_name"] for r in narrowed.payment_mix.collect()] == ["B"]
     assert narrowed.kpis.first()["worst_truck"] == "A"  # key figures ignore the selection
 
 
-def test_dashboard_over_one_roll_up(fleet):
+def test_dashboard_over_two_roll_ups(fleet):
     star = fleet((1, 1, 1, 100, NOON), (2, 2, 2, 300, NOON))
     with open_dashboard(star, ["A"]) as view:
         assert rows(view.names) == [("A",), ("B",)]
@@ -232,6 +232,13 @@ def test_dashboard_over_one_roll_up(fleet):
     assert kept.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
+def test_ids_of_one_name_do_not_add_rows_to_what_is_kept(fleet):
+    star = fleet((1, 1, 1, 100, NOON), (2, 2, 2, 300, NOON))
+    many = star.truck.withColumn("truck_name", F.lit("A"))
+    kept = by_name(roll_up(Star(star.fact, star.payment, many), "date").drop("payment_method"))
+    assert rows(kept) == [("A", date(2024, 1, 15), 400, 2, 2)]
+
+
 def test_previous_day_is_a_calendar_day(fleet):
     star = fleet(
         (1, 1, 1, 1, "2024-01-14 23:59:59.999999"),

@@ -2,60 +2,44 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many values the whole range is searched. Beyond it a quantile sketch narrows
-# the search to the values around the wanted rank.
-SMALL = 1_000_000
-
-_SKETCH_ACCURACY = 100_000  # rank error of the sketch: 1 / accuracy of the count
-_MARGIN = 1e-4  # ten times that error, and at least 100 ranks above SMALL values
+from tillroll.sources.shared import stage
 
 
-def exact_percentile(
-    df: DataFrame, value: str, fraction: float, small: int = SMALL
-) -> DataFrame:
+def exact_percentile(df: DataFrame, value: str, fraction: float) -> DataFrame:
     """One row, `percentile`: the linearly interpolated percentile of a column.
 
-    A sketch, merged from partial sketches of fixed size, brackets the wanted rank. All
-    values under the bracket become a single count; only the distinct values inside it are
-    put in order. Those are all values for a small frame and about 0.02 % of a large one.
-    Null values are ignored; no values give null.
+    Distinct values and their counts are dealt out by range and staged. One count per range
+    comes to the driver and tells which one or two ranges hold the wanted ranks; only those
+    are put in order. It is the same way at every size. Null values are ignored; no values
+    give null.
     """
     if not 0 <= fraction <= 1:
         raise ValueError("fraction must lie between 0 and 1")
     values = df.where(F.col(value).isNotNull()).select(F.col(value).alias("v"))
-    sketch = F.percentile_approx(
-        "v",
-        F.array(F.lit(max(fraction - _MARGIN, 0.0)), F.lit(min(fraction + _MARGIN, 1.0))),
-        _SKETCH_ACCURACY,
-    )
-    is_small = F.count("v") <= small
-    bracket = values.agg(
-        F.struct(
-            F.when(is_small, F.min("v")).otherwise(sketch[0]).alias("low"),
-            F.when(is_small, F.max("v")).otherwise(sketch[1]).alias("high"),
-            ((F.count("v") - 1) * F.lit(fraction)).alias("rank"),
-        )
-    ).scalar()
-    low, high, rank = bracket["low"], bracket["high"], bracket["rank"]
-
-    inside = values.where(F.col("v") <= high).select(
-        F.when(F.col("v") >= low, F.col("v")).alias("v")
-    )
-    upwards = Window.orderBy(F.asc_nulls_first("v")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ordered = (
-        inside.groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("v", F.sum("n").over(upwards).alias("reached"), rank.alias("rank"))
-    )
-    return ordered.agg(
-        F.min(F.when(F.col("reached") > F.floor("rank"), F.col("v"))).alias("below"),
-        F.min(F.when(F.col("reached") > F.ceil("rank"), F.col("v"))).alias("above"),
-        F.max(F.col("rank") - F.floor("rank")).alias("part"),
-    ).select(
-        (F.col("below") + (F.col("above") - F.col("below")) * F.col("part")).alias("percentile")
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    ranges = stage(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    sizes = ranges.groupBy("part").agg(F.sum("n").alias("n")).collect()
+
+    below, held = 0, {}
+    rank = (sum(size["n"] for size in sizes) - 1) * fraction
+    for part, n in sorted(map(tuple, sizes)):
+        if below + n > math.floor(rank) and below <= math.ceil(rank):
+            held[part] = below
+        below += n
+    start = F.lit(0)
+    for part, before in held.items():
+        start = F.when(F.col("part") == part, F.lit(before)).otherwise(start)
+    upwards = Window.partitionBy("part").orderBy("v")
+    reached = ranges.where(F.col("part").isin(*held)).select(
+        "v", (start + F.sum("n").over(upwards)).alias("reached")
     )
+    part_way = rank - math.floor(rank)
+    return reached.agg(
+        F.min(F.when(F.col("reached") > math.floor(rank), F.col("v"))).alias("below"),
+        F.min(F.when(F.col("reached") > math.ceil(rank), F.col("v"))).alias("above"),
+    ).select((F.col("below") + (F.col("above") - F.col("below")) * part_way).alias("percentile"))

@@ -1,4 +1,4 @@
-"""Everything a dashboard shows, from one roll-up."""
+"""Everything a dashboard shows, from two small roll-ups."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ from tillroll.operators.metrics import (
     payment_distribution,
     pence_by_truck,
 )
-from tillroll.operators.star import roll_up
+from tillroll.operators.star import by_name, roll_up
 from tillroll.schemas import Star
 
 
@@ -65,21 +65,45 @@ class Dashboard:
     average_by_hour: DataFrame
 
 
-def dashboard(sales: DataFrame, names: Sequence[str] | None = None) -> Dashboard:
-    """The frames behind each widget. A selection of names narrows the charts, not the
-    key figures."""
+def dashboard(
+    by_date: DataFrame, by_hour: DataFrame, names: Sequence[str] | None = None
+) -> Dashboard:
+    """The frames behind each widget, from sales by date and method and sales by hour. A
+    selection of names narrows the charts, not the key figures."""
     return Dashboard(
-        kpis=kpi_metrics(sales),
-        names=distinct_trucks(sales),
-        cumulative=cumulative_revenue(sales, names),
-        payment_mix=payment_distribution(sales, names),
-        average_by_hour=average_amount_by_hour(sales, names),
+        kpis=kpi_metrics(by_date),
+        names=distinct_trucks(by_date),
+        cumulative=cumulative_revenue(by_date, names),
+        payment_mix=payment_distribution(by_date, names),
+        average_by_hour=average_amount_by_hour(by_hour, names),
     )
 
 
 @contextmanager
 def open_dashboard(star: Star, names: Sequence[str] | None = None) -> Iterator[Dashboard]:
-    """A dashboard whose frames share one pass over the fact. What is cached is the
-    roll-up by truck, method, date and hour, never the sales."""
-    with shared(roll_up(star, "date", "hour_of_day")) as sales:
-        yield dashboard(sales, names)
+    """A dashboard whose frames read two cached roll-ups by name, one with methods and dates
+    and one with hours; no chart needs both, and neither grows with the sales."""
+    by_hour = by_name(roll_up(star, "hour_of_day").drop("payment_method"))
+    with shared(by_name(roll_up(star, "date"))) as dates, shared(by_hour) as hours:
+        yield dashboard(dates, hours, names)
+
+
+def dashboard_lines(view: Dashboard) -> DataFrame:
+    """All frames of a dashboard as lines: widget, label, detail and value."""
+
+    def lines(df: DataFrame, widget: str, label: str, detail: str, value: str) -> DataFrame:
+        return df.selectExpr(
+            f"'{widget}' AS widget",
+            f"{label} AS label",
+            f"CAST({detail} AS STRING) AS detail",
+            f"CAST({value} AS DOUBLE) AS value",
+        )
+
+    return (
+        lines(view.kpis, "best", "best_truck", "NULL", "best_revenue")
+        .union(lines(view.kpis, "worst", "worst_truck", "NULL", "worst_revenue"))
+        .union(lines(view.names, "names", "truck_name", "NULL", "NULL"))
+        .union(lines(view.cumulative, "cumulative", "truck_name", "date", "cumulative_total_pounds"))
+        .union(lines(view.payment_mix, "payments", "truck_name", "payment_method", "count"))
+        .union(lines(view.average_by_hour, "hours", "truck_name", "hour_of_day", "average_transaction_amount"))
+    )

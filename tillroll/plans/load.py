@@ -73,16 +73,22 @@ def profile(increment: DataFrame) -> Increment:
     )
 
 
-# A sale is known by its id and its time; a missing id is an id of its own. Spelled out as
-# plain columns so that dropping repeats and the anti join share one shuffle.
-_IDENTITY = ["_id", "_no_id", "at"]
+# A sale is known by its id and its time, a sale without an id by all its columns. Spelled
+# out as plain columns so that dropping repeats and the anti join share one shuffle.
+_IDENTITY = ["_id", "_no_id", "_rest", "at"]
 
 
 def _identified(sales: DataFrame) -> DataFrame:
+    others = [
+        F.coalesce(F.col(name).cast("string"), F.lit("-"))
+        for name in TRANSACTION.names
+        if name not in ("transaction_id", "at")
+    ]
     return sales.withColumns(
         {
             "_id": F.coalesce("transaction_id", F.lit(0)),
             "_no_id": F.col("transaction_id").isNull(),
+            "_rest": F.when(F.col("transaction_id").isNull(), F.concat_ws(",", *others)).otherwise(""),
         }
     )
 

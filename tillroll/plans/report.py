@@ -17,7 +17,7 @@ from tillroll.operators.metrics import (
     total_pence,
 )
 from tillroll.operators.ranking import best_truck, most_earning, most_sold, worst_truck
-from tillroll.operators.star import on_previous_day, roll_up
+from tillroll.operators.star import by_name, on_previous_day, roll_up
 from tillroll.schemas import Star
 from tillroll.sources.shared import stage
 
@@ -62,7 +62,8 @@ def report_lines(sales: DataFrame) -> DataFrame:
     rather than a running number, so a long list of trucks needs no single-task numbering.
     """
     segments = price_segmentation(sales).withColumn("rank", segment_rank(F.col("price_segment")))
-    poor = below_percentile(pence_by_truck(sales))
+    by_truck = stage(pence_by_truck(sales))
+    poor = below_percentile(by_truck)
     demanded, dominant = most_sold(segments), most_earning(segments)
     in_sales, in_revenue = "percentage_of_transactions", "percentage_of_revenue"
     demanded_label = "'most demanded segment: ' || price_segment"
@@ -83,10 +84,13 @@ def report_lines(sales: DataFrame) -> DataFrame:
 def daily_report(star: Star, as_of: date) -> DataFrame:
     """The report on the day before `as_of`, one line per row, in reading order.
 
-    The fact is read once, for that day only. Its roll-up by truck, method, hour and
-    segment is staged, and every section is worked out from that.
+    The fact is read once, for that day only. Its roll-up by name, hour and segment is
+    staged, so is the revenue by truck, and every section is worked out from those.
     """
-    sales = stage(roll_up(on_previous_day(star, as_of), "hour_of_day", "price_segment"))
+    day = as_of - timedelta(days=1)
+    rolled = roll_up(on_previous_day(star, as_of), "hour_of_day", "price_segment")
+    sales = stage(by_name(rolled.drop("payment_method")))
     if sales.isEmpty():
-        raise NoSales(f"no transactions for {as_of - timedelta(days=1)}")
-    return report_lines(sales).orderBy("section_no", "sort_key", "label")
+        raise NoSales(f"no transactions for {day}")
+    dated = report_lines(sales).withColumn("report_date", F.lit(day))
+    return dated.orderBy("section_no", "sort_key", "label")

@@ -48,7 +48,7 @@ PAYMENT = StructType(
     ]
 )
 
-MARK = StructType([StructField("mark", TimestampNTZType())])
+MARK = StructType([StructField("number", LongType()), StructField("mark", TimestampNTZType())])
 
 # Last instant of history, taken by the initial load (inclusive).
 HISTORY_CUTOFF = "2025-10-25 23:58:00"

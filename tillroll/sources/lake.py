@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -85,20 +84,20 @@ def read_transactions(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def read_days(spark: SparkSession, lake: Lake, days: Iterable[date]) -> DataFrame:
-    """The landed fact of some days. Only their folders are listed, month by month, so the
-    cost does not grow with the age of the lake; days not landed have no rows."""
-    months: dict[tuple[int, int], list[str]] = {}
-    for day in sorted(set(days)):
-        months.setdefault((day.year, day.month), []).append(str(day.day))
-    folders = [
-        f"{lake.transactions}/year={year}/month={month}/day={{{','.join(found)}}}"
-        for (year, month), found in months.items()
-    ]
-    parts = [
-        _read_or_empty(spark, folder, LAKE_TRANSACTION, basePath=lake.transactions)
-        for folder in folders
-    ]
-    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], LAKE_TRANSACTION))
+    """The landed fact of some days, in one scan. Only their folders are listed, so the cost
+    does not grow with the age of the lake; days not landed have no rows."""
+    wanted = sorted(set(days))
+    if not wanted:
+        return read_transactions(spark, lake).where("false")
+    folders = [f"{lake.transactions}/year={d.year}/month={d.month}/day={d.day}" for d in wanted]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(lake.transactions)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = [f for f in folders if store.exists(hadoop.Path(f))]
+    if not there:
+        return read_transactions(spark, lake).where("false")
+    reader = spark.read.schema(LAKE_TRANSACTION).option("basePath", lake.transactions)
+    return reader.parquet(*there)
 
 
 def read_lake(spark: SparkSession, lake: Lake, days: Iterable[date] | None = None) -> Star:
@@ -123,14 +122,22 @@ def read_mark(spark: SparkSession, lake: Lake, default) -> DataFrame:
     """The high-water mark as one row, `default` before the first load."""
     stored = _read_or_empty(spark, lake.mark, MARK)
     fallback = F.lit(str(default)).cast("timestamp_ntz")
-    return stored.agg(F.coalesce(F.max("mark"), fallback).alias("mark"))
+    return stored.agg(F.coalesce(F.max_by("mark", "number"), fallback).alias("mark"))
 
 
 def write_mark(spark: SparkSession, lake: Lake, mark: datetime) -> None:
-    """Replace the mark, microseconds kept. Losing it to a crash half way is safe: the
-    next load starts from its default and the append drops what has landed already."""
-    row = spark.range(1).select(F.lit(str(mark)).cast("timestamp_ntz").alias("mark"))
-    row.coalesce(1).write.mode("overwrite").parquet(lake.mark)
+    """Move the mark, microseconds kept, forward or back.
+
+    A numbered row is appended and the highest number counts, so a crash half way leaves the
+    mark as it was.
+    """
+    stored = _read_or_empty(spark, lake.mark, MARK)
+    number = stored.agg(F.coalesce(F.max("number"), F.lit(0)) + 1).first()[0]
+    row = spark.range(1).select(
+        F.lit(number).cast("long").alias("number"),
+        F.lit(str(mark)).cast("timestamp_ntz").alias("mark"),
+    )
+    row.coalesce(1).write.mode("append").parquet(lake.mark)
 
 
 def register_lake(spark: SparkSession, lake: Lake, database: str) -> None:
@@ -139,7 +146,13 @@ def register_lake(spark: SparkSession, lake: Lake, database: str) -> None:
     _create_table(spark, f"{database}.transaction_table", LAKE_TRANSACTION, lake.transactions)
     _create_table(spark, f"{database}.truck_table", TRUCK, lake.trucks)
     _create_table(spark, f"{database}.payment_table", PAYMENT, lake.payments)
-    spark.sql(f"MSCK REPAIR TABLE {database}.transaction_table")
+    sync_partitions(spark, f"{database}.transaction_table")
+
+
+def sync_partitions(spark: SparkSession, table: str) -> None:
+    """Make the partitions in the catalog those of the folder: new ones come, dead ones go."""
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def _create_table(spark: SparkSession, name: str, schema: StructType, path: str) -> None:
