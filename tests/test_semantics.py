@@ -236,7 +236,7 @@ def test_ids_of_one_name_do_not_add_rows_to_what_is_kept(fleet):
     star = fleet((1, 1, 1, 100, NOON), (2, 2, 2, 300, NOON))
     many = star.truck.withColumn("truck_name", F.lit("A"))
     kept = by_name(roll_up(Star(star.fact, star.payment, many), "date").drop("payment_method"))
-    assert rows(kept) == [("A", date(2024, 1, 15), 400, 2, 2)]
+    assert rows(kept) == [(date(2024, 1, 15), "A", 400, 2, 2)]
 
 
 def test_previous_day_is_a_calendar_day(fleet):
