@@ -3,7 +3,8 @@
 Sequential covering: a rule is grown on two thirds of the labelled rows by adding the
 threshold with the highest information gain, then pruned on the other third by cutting
 conditions off its end while that helps. The rows it covers leave, and the next rule is
-grown, until a pruned rule is no longer precise. The list comes out as ordered Spark
+grown, until no bad row is left. A rule that is not precise on the other third is thrown away,
+and the bad rows it was grown for are given up. The list comes out as ordered Spark
 conditional expressions over the columns of facts, so it can be read, stored and changed.
 
 Null and empty texts have no words: all counts are 0 and the base rule fails. Ratios with
@@ -195,10 +196,14 @@ def learn(counts: np.ndarray, bad: np.ndarray, seed: int = 3) -> list[Rule]:
         # the shortest of the best beginnings
         rule = max((rule[: k + 1] for k in range(len(rule))), key=lambda r: (_worth(r, check, bad[other]), -len(r)))
         inside = _covered(rule, check, int(other.sum()))
-        if not inside.any() or bad[other][inside].mean() < MIN_PRECISION:
+        covered = _covered(rule, values, len(bad))
+        if not (covered & grown & bad).any():
             break
-        rules.append(rule)
-        alive &= ~_covered(rule, values, len(bad))
+        if inside.any() and bad[other][inside].mean() >= MIN_PRECISION:
+            rules.append(rule)
+            alive &= ~covered
+        else:
+            alive &= ~(covered & grown & bad)
     return rules
 
 

@@ -35,7 +35,9 @@ STRIDE = 8
 FIT_ROWS = 1200
 #: Longer labelled documents are left out of the fit; every document is scored whole.
 FIT_CHARS = 20_000
+#: Passes over the windows: this many, or on few texts as many as make up the steps.
 EPOCHS = 12
+STEPS = 600
 BATCH = 256
 SCALE = 10.0
 
@@ -115,8 +117,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     grams, edge, doc = np.concatenate(pieces), np.array(bounds), np.array(owner)
     del pieces
     rng = np.random.default_rng(seed)
-    table = rng.normal(0, 0.1, (1 << BITS, DIMENSIONS))
-    soft = rng.normal(0, 0.1, (DIMENSIONS, 2))
+    table = rng.normal(0, 0.005, (1 << BITS, DIMENSIONS))  # n-grams never seen weigh next to nothing
+    soft = rng.normal(0, 0.3, (DIMENSIONS, 2))
     offset = np.zeros(2)
     adam = _Adam(table.shape, soft.shape, offset.shape)
     held = np.isin(doc, rng.permutation(len(texts))[: len(texts) // 5])  # sets the threshold
@@ -136,7 +138,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
         return order[np.append(np.diff(doc[order]) != 0, True)]
 
     all_windows, seen = np.arange(len(doc)), np.flatnonzero(~held)
-    for epoch in range(EPOCHS):
+    batches = max(2 * len(texts) // BATCH, 1)  # windows chosen in a pass, see below
+    for epoch in range(min(max(EPOCHS, STEPS // batches), 100)):
         if epoch < 2:
             chosen = seen
         else:
