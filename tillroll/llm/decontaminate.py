@@ -29,6 +29,8 @@ from tillroll.sources.shared import stage
 
 #: Windows whose words are sent to the executors at once.
 WINDOWS_PER_BLOCK = 200_000
+#: Words of all windows of a block: the numbers of SHINGLE words must fit 63 bits.
+WORDS_PER_BLOCK = 1_900_000
 #: Candidates verified in one comparison.
 CANDIDATES_PER_CALL = 50_000
 SHINGLE = 3
@@ -217,7 +219,8 @@ def overlaps(
     context = docs.sparkSession.sparkContext
     windows = item_windows(items, size, item_key, item_text).select("win", "words").distinct()
     # at least as many blocks as the bound asks for; which window is where depends on its hash
-    blocks = max(math.ceil(windows.count() / WINDOWS_PER_BLOCK), 1)
+    per_block = max(min(WINDOWS_PER_BLOCK, WORDS_PER_BLOCK // size), 1)
+    blocks = max(math.ceil(windows.count() / per_block), 1)
     out = docs.select(
         key, *carry, F.col(text).alias("_text"),
         F.array().cast("array<int>").alias("_hits"), F.array().cast("array<bigint>").alias("_wins"),
