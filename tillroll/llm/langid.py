@@ -47,7 +47,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def vector(text: str, idf: np.ndarray) -> np.ndarray:
-    return _unit(np.log1p(gram_counts(text)) * idf)
+    return _unit(np.sqrt(gram_counts(text)) * idf)
 
 
 @dataclass
