@@ -358,6 +358,14 @@ def test_toxicity_knows_unseen_misspellings():
     assert np.mean(np.array(others) < 0.5) > 0.8
 
 
+def test_toxicity_marks_words_that_echo():
+    buckets, starts, n_words = toxicity.grams_of("Bad bad, BAD good bad")
+    by_word = [buckets[a:b].tolist() for a, b in zip(starts, starts[1:])]
+    assert n_words == 5 and by_word[0] == by_word[4] and len(by_word[1]) == len(by_word[0])
+    assert set(by_word[1] + by_word[2]) == {toxicity.ECHO}
+    assert toxicity.ECHO not in by_word[0] + by_word[3] + by_word[4]
+
+
 def brute_facts(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]

@@ -6,7 +6,9 @@ Embeddings and softmax are trained jointly in numpy, so a misspelling that was n
 shares most of its n-grams with words that were. A document counts by its most toxic window:
 a few words in a very long text are not averaged away. Training does the same: after a first
 pass over all windows of toxic documents, only the window that looks most toxic is taken as
-such, for clean documents as the hardest example of a clean one.
+such, for clean documents as the hardest example of a clean one. The n-grams of a word equal to
+the one before are replaced by a mark with an embedding of its own, so that a stuttered word
+fills no window with its few n-grams.
 
 After training, the softmax of the embedding of an n-gram is one number per bucket, and all
 windows of a text come from one prefix sum over its whole length.
@@ -24,10 +26,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_sample, gram_buckets, letter_codes, map_rows
+from tillroll.llm.common import bounded_sample, gram_buckets, letter_codes, map_rows, powers
 
 GRAMS = (3, 4, 5)
 BITS = 15
+#: Stands for each n-gram of a word equal to the one before.
+ECHO = 1 << BITS
 DIMENSIONS = 8
 WINDOW = 16
 STRIDE = 8
@@ -49,12 +53,18 @@ def grams_of(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
         return np.empty(0, np.int64), np.zeros(1, np.int64), 0
     word_at = np.cumsum(codes == 32)  # the word that starts after each space
     n_words = int(word_at[-1]) - 1
+    spaces = np.flatnonzero(codes == 32)
+    up, down = powers(len(codes) + 1)
+    sums = np.append(np.uint64(0), np.cumsum(codes * up[: len(codes)]))
+    names = (sums[spaces[1:]] - sums[spaces[:-1] + 1]) * down[spaces[:-1] + 1]
+    echoes = np.append(False, names[1:] == names[:-1])
     buckets, words = [], []
     for length in GRAMS:
         bucket, places = gram_buckets(codes, length, BITS)
         buckets.append(bucket)
         words.append(word_at[places] - 1)
     bucket, word = np.concatenate(buckets), np.concatenate(words)
+    bucket[echoes[word]] = ECHO
     order = np.argsort(word, kind="stable")
     starts = np.searchsorted(word[order], np.arange(n_words + 1))
     return bucket[order], starts, n_words
@@ -103,7 +113,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     y = np.array(labels, np.int64)
     base = min(float(y.mean()) if len(y) else 0.0, 0.49)
     if len(np.unique(y)) < 2:
-        return Model(np.zeros(1 << BITS), -30.0, base)
+        return Model(np.zeros(ECHO + 1), -30.0, base)
     # all windows of all texts, flat: grams[bounds[w]:bounds[w + 1]] belong to window w
     pieces, bounds, owner = [], [0], []
     for i, t in enumerate(texts):
@@ -117,7 +127,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     grams, edge, doc = np.concatenate(pieces), np.array(bounds), np.array(owner)
     del pieces
     rng = np.random.default_rng(seed)
-    table = rng.normal(0, 0.005, (1 << BITS, DIMENSIONS))  # n-grams never seen weigh next to nothing
+    table = rng.normal(0, 0.005, (ECHO + 1, DIMENSIONS))  # n-grams never seen weigh next to nothing
     soft = rng.normal(0, 0.3, (DIMENSIONS, 2))
     offset = np.zeros(2)
     adam = _Adam(table.shape, soft.shape, offset.shape)
@@ -161,7 +171,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
             p *= (share[batch] / len(w))[:, None]
             back = SCALE * (p @ soft.T) / length[w][:, None]
             grad = np.stack(
-                [np.bincount(g, back[row, d], 1 << BITS) for d in range(DIMENSIONS)], axis=1
+                [np.bincount(g, back[row, d], ECHO + 1) for d in range(DIMENSIONS)], axis=1
             )
             adam.step([table, soft, offset], [grad, mean.T @ p, p.sum(axis=0)])
     value = scores()
