@@ -149,6 +149,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFra
     return map_rows(wide, ["a", "b", "text_a", "text_b"], schema, make).where("similar").drop("similar")
 
 
+def _sorted(df: DataFrame) -> DataFrame:
+    """The side of a join in a loop, to be shuffled and sorted at any size: the driver would
+    hold a broadcast table for each round."""
+    return df.hint("merge")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id in the links (a, b): root is the smallest id it is linked with.
 
@@ -165,16 +171,16 @@ def components(links: DataFrame) -> DataFrame:
         hooks = stage(hooks.select("root", F.least("root", "low").alias("to")))
         while True:
             ends = hooks.select(F.col("root").alias("to"), F.col("to").alias("end"))
-            further = stage(hooks.join(ends, "to").select("root", "to", "end"))
+            further = stage(hooks.join(_sorted(ends), "to").select("root", "to", "end"))
             hooks = further.select("root", F.col("end").alias("to"))
             if further.where("end <> to").isEmpty():
                 break
         roots = stage(
-            roots.join(hooks, "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+            roots.join(_sorted(hooks), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
         )
         left = stage(
-            left.join(hooks.select(F.col("root").alias("a"), F.col("to").alias("x")), "a")
-            .join(hooks.select(F.col("root").alias("b"), F.col("to").alias("y")), "b")
+            left.join(_sorted(hooks.select(F.col("root").alias("a"), F.col("to").alias("x"))), "a")
+            .join(_sorted(hooks.select(F.col("root").alias("b"), F.col("to").alias("y"))), "b")
             .where("x <> y")
             .select(F.col("x").alias("a"), F.col("y").alias("b"))
             .distinct()
