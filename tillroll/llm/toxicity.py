@@ -115,17 +115,16 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     if len(np.unique(y)) < 2:
         return Model(np.zeros(ECHO + 1), -30.0, base)
     # all windows of all texts, flat: grams[bounds[w]:bounds[w + 1]] belong to window w
-    pieces, bounds, owner = [], [0], []
+    flat_grams, bounds, owner = bytearray(), [0], []
     for i, t in enumerate(texts):
         buckets, starts, n_words = grams_of(t)
         for first, last in windows_of(n_words) if n_words else ():
             part = buckets[starts[first] : starts[last]]
             if len(part):
-                pieces.append(part.astype(np.uint16))
+                flat_grams += part.astype(np.uint16).tobytes()
                 bounds.append(bounds[-1] + len(part))
                 owner.append(i)
-    grams, edge, doc = np.concatenate(pieces), np.array(bounds), np.array(owner)
-    del pieces
+    grams, edge, doc = np.frombuffer(flat_grams, np.uint16), np.array(bounds), np.array(owner)
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.005, (ECHO + 1, DIMENSIONS))  # n-grams never seen weigh next to nothing
     soft = rng.normal(0, 0.3, (DIMENSIONS, 2))
