@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from tillroll.llm import (
     bpe,
     chat,
+    collocations,
     decontaminate,
     langid,
     line_dedup,
     near_dup,
+    piece_bpe,
     quality_pu,
     quality_rules,
     toxicity,
@@ -21,6 +23,7 @@ from tillroll.llm import (
 from tillroll.llm.common import fold
 
 VOCABULARY = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 URL_RULES: urls.Rules = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -106,6 +109,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(toxicity.predict(docs, model), held_out)
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def _predicted(scored: DataFrame, held_out) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -128,5 +139,7 @@ QUERIES = {
         op8_near_duplicates,
         op9_bpe,
         op10_toxicity,
+        op12_sentencepiece,
+        op13_collocations,
     )
 }

@@ -88,4 +88,47 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM d JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLES = {"op4_decontaminate": OP4, "op6_chat_format": OP6, "op8_near_duplicates": OP8}
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang,
+  regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]') AS pieces FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, greatest(len(w) - k, -1) + 2),
+    lambda s: array_to_string(w[s:s + k - 1], ' '))) AS phrase FROM p, range(1, 6) AS u(k)
+),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+frequent AS MATERIALIZED (SELECT * FROM f WHERE f >= 100),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM frequent WHERE k >= 2),
+cuts AS (
+  SELECT c.*, i, array_to_string(w[1:i], ' ') AS head, array_to_string(w[i + 1:], ' ') AS tail
+  FROM cand c, unnest(range(1, k)) AS u(i)
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, a, i, h.f AS l, t.f AS r, n,
+    CAST(1000::HUGEINT * a * n // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN frequent h ON h.lang = c.lang AND h.phrase = c.head
+  JOIN frequent t ON t.lang = c.lang AND t.phrase = c.tail JOIN total ON total.lang = c.lang
+),
+least AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+),
+inner_ AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM cand, range(2, 5) AS u(m), unnest(range(1, greatest(k - m, -1) + 2)) AS v(s) WHERE m < k GROUP BY ALL
+),
+alone AS (
+  SELECT b.* FROM least b LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM alone QUALIFY rank <= 2000
+"""
+
+ORACLES = {
+    "op4_decontaminate": OP4,
+    "op6_chat_format": OP6,
+    "op8_near_duplicates": OP8,
+    "op13_collocations": OP13,
+}
