@@ -4,7 +4,7 @@ Counting is a job of three passes over the texts, each with the same structure i
 trie over word ids with hash containers under it. A container takes the rest of a phrase under
 its first words; when it is full it bursts into containers one word deeper, so the trie stays
 shallow where phrases are few. When the trie of a task holds too much, its largest subtrees
-leave whole as sorted runs, and runs are added up per prefix partition: the language and the
+leave whole as sorted runs, and runs are added up per prefix partition: by the language and the
 first two words of a phrase, so that neither a language nor a frequent first word is one task.
 
 A phrase can be frequent only if all its words and all its pairs of neighbours are. Pass one
@@ -27,7 +27,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,7 @@ HELD = 600_000
 WORDS_HELD = 400_000
 WORD_BYTES_HELD = 64 << 20
 #: Bytes of text that are cut into words at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 21
 #: Bits of the map of frequent phrases: 8 MB, however many phrases there are.
 MAP_BITS = 26
 #: Parts of a language that are ranked side by side before their best are ranked together.
@@ -62,7 +62,7 @@ _MAPPED = bytes(
     for b in range(256)
 )
 _RUN = pa.schema(
-    [("lang", pa.string()), ("prefix", pa.binary()), ("phrase", pa.binary()), ("words", pa.int32()),
+    [("lang", pa.string()), ("phrase", pa.binary()), ("words", pa.int32()),
      ("slot", pa.int64()), ("n", pa.int64())]
 )
 _RUN_ROWS = 50_000
@@ -72,64 +72,73 @@ class Node(dict):
     """An inner node: the next word id, as four bytes, to a node or a container."""
 
 
+#: Bytes of a key that the trie takes at its root: the language's id and all but one byte of the
+#: first word's, so that a container there is shared by 256 words until it bursts.
+_TOP = 7
+
+
 class HatTrie:
-    """Counts of phrases, given as word ids of four bytes each, under a language's id."""
+    """Counts of phrases, given as a language's id and word ids of four bytes each."""
 
     def __init__(self, burst: int = BURST) -> None:
         self.burst = burst
-        self.root: dict[bytes, Node | dict] = {}  # by language and first word
-        self.sizes: Counter[bytes] = Counter()
+        self.root: dict[bytes, Node | dict] = {}
         self.size = 0
 
     def add(self, counts: dict[bytes, int]) -> None:
-        root, burst, sizes = self.root, self.burst, self.sizes
+        root, burst, fresh = self.root, self.burst, 0
         for key, n in counts.items():
-            top, at = key[:8], 8
-            held = root.get(top)
-            if held is None:
-                held = root[top] = {}
-            above, name = root, top
+            name, at = key[:_TOP], _TOP
+            above, held = root, root.get(name)
             while held.__class__ is Node:
-                above, name = held, key[at : at + 4]
-                at += 4
+                step = at + (1 if at == _TOP else 4)
+                above, name, at = held, key[at:step], step
                 held = above.get(name)
-                if held is None:
-                    held = above[name] = {}
+            if held is None:
+                held = above[name] = {}
             rest = key[at:]
             if rest in held:
                 held[rest] += n
                 continue
             held[rest] = n
-            sizes[top] += 1
-            self.size += 1
+            fresh += 1
             if len(held) > burst and rest:
-                above[name] = self._burst(held)
+                above[name] = self._burst(held, 1 if at == _TOP else 4)
+        self.size += fresh
 
     @staticmethod
-    def _burst(container: dict[bytes, int]) -> Node:
+    def _burst(container: dict[bytes, int], step: int) -> Node:
         node = Node()
         for rest, n in container.items():
-            part = node.get(rest[:4])
+            part = node.get(rest[:step])
             if part is None:
-                part = node[rest[:4]] = {}
-            part[rest[4:]] = n
+                part = node[rest[:step]] = {}
+            part[rest[step:]] = n
         return node
 
-    def _walk(self, at: bytes, held: Node | dict) -> Iterator[tuple[bytes, int]]:
-        for name, value in held.items():
-            if held.__class__ is Node:
-                yield from self._walk(at + name, value)
-            else:
-                yield at + name, value
-
-    def take(self, down_to: int) -> Iterator[tuple[bytes, int]]:
-        """Remove whole subtrees, largest first, until no more than so many phrases are left."""
-        for top, size in self.sizes.most_common():
+    def _gather(self, at: bytes, held: Node | dict, keys: list[bytes], counts: list[int]) -> None:
+        if held.__class__ is Node:
+            for name, part in held.items():
+                self._gather(at + name, part, keys, counts)
+        else:
+            keys += [at + rest for rest in held]
+            counts += held.values()
+
+    def _size(self, held: Node | dict) -> int:
+        return sum(map(self._size, held.values())) if held.__class__ is Node else len(held)
+
+    def take(self, down_to: int) -> tuple[list[bytes], list[int]]:
+        """Remove whole subtrees, largest first, until no more than so many phrases are left:
+        their keys and counts."""
+        keys: list[bytes] = []
+        counts: list[int] = []
+        sizes = {top: self._size(held) for top, held in self.root.items()}
+        for top in sorted(sizes, key=sizes.__getitem__, reverse=True):
             if self.size <= down_to:
                 break
-            yield from self._walk(top, self.root.pop(top))
-            self.size -= size
-            del self.sizes[top]
+            self._gather(top, self.root.pop(top), keys, counts)
+            self.size -= sizes[top]
+        return keys, counts
 
 
 def blocks(data: bytes, size: int = BLOCK) -> Iterator[bytes]:
@@ -155,19 +164,19 @@ class Counting:
         self.ids: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.ids[bytes([_BREAK])]
         self.names: list[bytes] = []
-        self.hashes = np.empty(0, np.uint64)
+        self.hashes = np.zeros(1, np.uint64)
         self.bytes_held = 0
 
     def _numbered(self) -> None:
         """Names and hashes of the words that came since the last call."""
         known = len(self.names)
-        if known == len(self.ids):
-            return
-        fresh = list(self.ids)[known:]
+        fresh = list(islice(self.ids, known, None))
         self.names += fresh
         self.bytes_held += sum(map(len, fresh))
-        made = np.fromiter((zlib.crc32(w) | zlib.adler32(w) << 32 for w in fresh), np.uint64, len(fresh))
-        self.hashes = np.append(self.hashes, mix(made))
+        made = mix(np.fromiter(map(zlib.crc32, fresh), np.uint64, len(fresh)))
+        if len(self.names) > len(self.hashes):
+            self.hashes = np.resize(self.hashes, 2 * len(self.names))
+        self.hashes[known : len(self.names)] = made
 
     @staticmethod
     def salt(lang: bytes) -> np.uint64:
@@ -191,12 +200,12 @@ class Counting:
         before = np.zeros(0, np.int64)
         for block in blocks(data):
             ids = np.fromiter(map(self.ids.__getitem__, block.split()), np.int64)
-            lang_id = self.ids[b"\xfe" + tag].to_bytes(4, "big")
+            lang_id = self.ids[b"\xfe" + tag]
             self._numbered()
             self._phrases(np.append(before, ids), len(before), lang_id, salt)
             before = np.append(before, ids)[-(self.longest - 1) :] if self.longest > 1 else before
 
-    def _phrases(self, ids: np.ndarray, seen: int, lang_id: bytes, salt: np.uint64) -> None:
+    def _phrases(self, ids: np.ndarray, seen: int, lang_id: int, salt: np.uint64) -> None:
         """Phrases that end after the first `seen` words, which an earlier block has had."""
         whole = ids != 0
         if self.maps:
@@ -204,7 +213,6 @@ class Counting:
         pairs = whole[:-1] & whole[1:]
         if len(self.maps) > 1:
             pairs[pairs] = self._frequent(1, self._pair_slots(ids, salt)[pairs])
-        wide = ids.astype(">u4")
         good = whole
         for n in range(1, self.longest + 1):
             if n > 1:
@@ -213,10 +221,20 @@ class Counting:
                 continue
             starts = np.flatnonzero(good)
             starts = starts[starts + n > seen]
-            if len(starts):
-                rows = wide[starts[:, None] + np.arange(n)].tobytes()
-                found = Counter([rows[i : i + 4 * n] for i in range(0, len(rows), 4 * n)])
-                self.trie.add({lang_id + key: c for key, c in found.items()})
+            if n == 1:  # most words repeat within a block, and numbers sort faster than bytes
+                words, times = np.unique(ids[starts], return_counts=True)
+                self.trie.add(dict(zip(self._keys(words[:, None], lang_id), times.tolist())))
+            elif len(starts):
+                self.trie.add(Counter(self._keys(ids[starts[:, None] + np.arange(n)], lang_id)))
+
+    @staticmethod
+    def _keys(words: np.ndarray, lang_id: int) -> list[bytes]:
+        """Rows of word ids as keys of the trie."""
+        rows = np.empty((len(words), words.shape[1] + 1), ">u4")
+        rows[:, 0] = lang_id
+        rows[:, 1:] = words
+        data, width = rows.tobytes(), 4 * rows.shape[1]
+        return [data[i : i + width] for i in range(0, len(data), width)]
 
     def full(self) -> bool:
         return self.trie.size > self.held
@@ -225,35 +243,38 @@ class Counting:
         return len(self.ids) > WORDS_HELD or self.bytes_held > WORD_BYTES_HELD
 
     def runs(self, down_to: int) -> Iterator[pa.RecordBatch]:
-        """Subtrees as sorted runs."""
-        made = [(key, n) for key, n in self.trie.take(down_to)]
-        names = self.names
-        rows = []
-        for key, n in made:
-            ids = [int.from_bytes(key[i : i + 4], "big") for i in range(0, len(key), 4)]
-            rows.append((names[ids[0]][1:], b" ".join([names[i] for i in ids[1:]]), ids, n))
-        rows.sort(key=lambda r: r[:2])
-        for start in range(0, len(rows), _RUN_ROWS):
-            part = rows[start : start + _RUN_ROWS]
-            langs = [r[0] for r in part]
-            salts = {t: self.salt(t) for t in set(langs)}
-            salt = np.fromiter((salts[t] for t in langs), np.uint64, len(part))
-            first = np.fromiter((r[2][1] for r in part), np.int64, len(part))
-            last = np.fromiter((r[2][min(2, len(r[2]) - 1)] for r in part), np.int64, len(part))
-            sizes = np.fromiter((len(r[2]) - 1 for r in part), np.int32, len(part))
-            pair = mix(self.hashes[first] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[last] + salt)
-            slot = np.where(sizes == 1, mix(self.hashes[first] + salt), pair) >> np.uint64(64 - MAP_BITS)
-            yield pa.RecordBatch.from_arrays(
+        """Subtrees as sorted runs, one for each length of phrase."""
+        keys, counts = self.trie.take(down_to)
+        by_size: dict[int, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
+        for key, n in zip(keys, counts):
+            some = by_size[len(key)]
+            some[0].append(key)
+            some[1].append(n)
+        name = self.names.__getitem__
+        for size, (some, n) in by_size.items():
+            ids = np.frombuffer(b"".join(some), ">u4").reshape(-1, size // 4).astype(np.int64)
+            langs, words = ids[:, 0], ids[:, 1:]
+            spelt = [list(map(name, column)) for column in words.T.tolist()]
+            phrases = spelt[0] if len(spelt) == 1 else list(map(b" ".join, zip(*spelt)))
+            tags = {i: name(i)[1:] for i in set(langs.tolist())}
+            salt_of = {i: self.salt(tag) for i, tag in tags.items()}
+            salts = np.fromiter(map(salt_of.__getitem__, langs.tolist()), np.uint64, len(langs))
+            one = self.hashes[words]
+            mixed = one[:, 0] * np.uint64(0x9E3779B97F4A7C15) + one[:, 1] if words.shape[1] > 1 else one[:, 0]
+            slots = (mix(mixed + salts) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+            texts = {i: tag.decode("utf-8", "surrogatepass") for i, tag in tags.items()}
+            run = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([t.decode("utf-8", "surrogatepass") for t in langs]),
-                    pa.array([b" ".join([names[i] for i in r[2][1:3]]) for r in part], pa.binary()),
-                    pa.array([r[1] for r in part], pa.binary()),
-                    pa.array(sizes),
-                    pa.array(slot.astype(np.int64)),
-                    pa.array([r[3] for r in part], pa.int64()),
+                    pa.array(list(map(texts.__getitem__, langs.tolist()))),
+                    pa.array(phrases, pa.binary()),
+                    pa.array(np.full(len(n), words.shape[1], np.int32)),
+                    pa.array(slots),
+                    pa.array(n, pa.int64()),
                 ],
                 schema=_RUN,
-            )
+            ).sort_by([("lang", "ascending"), ("phrase", "ascending")])
+            for start in range(0, run.num_rows, _RUN_ROWS):
+                yield run.slice(start, _RUN_ROWS)
 
 
 def spaced(text: bytes) -> bytes:
@@ -297,15 +318,11 @@ def counted(
         yield from task.runs(0)
 
     ship(texts.sparkSession)
-    ddl = "lang string, prefix binary, phrase binary, words int, slot bigint, n bigint"
-    runs = texts.mapInArrow(run, ddl)
-    # the partitioning by prefix is also one by phrase, so the sums need no shuffle of their own
-    return (
-        runs.repartition("lang", "prefix")
-        .groupBy("lang", "prefix", "phrase", "words", "slot")
-        .agg(F.sum("n").alias("n"))
-        .drop("prefix")
-    )
+    runs = texts.mapInArrow(run, "lang string, phrase binary, words int, slot bigint, n bigint")
+    # a slot stands for a language and the first two words; a partitioning by it is also one by
+    # phrase, so the sums need no shuffle of their own
+    merged = runs.repartition("slot").groupBy("slot", "lang", "phrase", "words")
+    return merged.agg(F.sum("n").alias("n"))
 
 
 def bit_map(frequent: DataFrame) -> np.ndarray:
