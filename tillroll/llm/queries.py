@@ -15,6 +15,7 @@ from tillroll.llm import (
     line_dedup,
     near_dup,
     piece_bpe,
+    prefix_trie,
     quality_pu,
     quality_rules,
     toxicity,
@@ -109,6 +110,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(toxicity.predict(docs, model), held_out)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -139,6 +144,7 @@ QUERIES = {
         op8_near_duplicates,
         op9_bpe,
         op10_toxicity,
+        op11_prefix_trie,
         op12_sentencepiece,
         op13_collocations,
     )

@@ -88,6 +88,60 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM d JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+OP11 = r"""
+WITH crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+sizes AS (SELECT c, max(i) AS n FROM own GROUP BY c),
+convs AS (
+  SELECT s.c, s.c - s.c % 100 AS base, n, xor(list_reduce(list_prepend(4294967295,
+      list_transform(range(1, length(s.c::VARCHAR) + 1), lambda i: ord((s.c::VARCHAR)[i]))),
+    lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 6 AS h
+  FROM sizes s, crc_table
+),
+taken AS (
+  SELECT convs.*, least(h, coalesce(b.n, 0)) AS m FROM convs LEFT JOIN sizes b ON b.c = base
+),
+turns AS (
+  SELECT t.c, o.i AS d, role, text FROM taken t JOIN own o ON o.c = t.base AND o.i <= t.m
+  UNION ALL SELECT t.c, o.i - h + m, role, text FROM taken t JOIN own o ON o.c = t.c AND o.i > h
+),
+paths AS MATERIALIZED (
+  SELECT c, d, text, list({'role': role, 'text': text}) OVER (PARTITION BY c ORDER BY d) AS path,
+    max(d) OVER (PARTITION BY c) AS n FROM turns
+  UNION ALL SELECT c, 0, '', [], 0 FROM taken WHERE m + greatest(n - h, 0) = 0
+  UNION ALL SELECT c, 0, '', [], -1 FROM taken WHERE m + greatest(n - h, 0) > 0
+),
+nodes AS MATERIALIZED (
+  SELECT min(c) AS conv_id, d, path, min(text) AS text, count(*) AS n_convs,
+    string_agg(c, ',' ORDER BY c) FILTER (d = n) AS ends
+  FROM paths GROUP BY d, path
+),
+named AS MATERIALIZED (SELECT p.c, p.d, x.conv_id FROM paths p JOIN nodes x ON x.d = p.d AND x.path = p.path),
+tree AS MATERIALIZED (
+  SELECT x.*, up.conv_id AS parent_conv_id FROM nodes x
+  LEFT JOIN named up ON up.c = x.conv_id AND up.d = x.d - 1
+),
+kids AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n FROM tree WHERE d > 0 GROUP BY ALL),
+full_ AS (
+  SELECT tree.*, coalesce(kids.n, 0) AS n_children FROM tree LEFT JOIN kids USING (conv_id, d)
+),
+below AS (
+  SELECT a.conv_id, a.d, sum((x.n_children = 0)::INT) AS n_leaves,
+    sum((x.n_convs - 1) * length(x.text)) AS saved
+  FROM full_ x JOIN named a ON a.c = x.conv_id AND a.d <= x.d GROUP BY ALL
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM full_ JOIN below USING (conv_id, d)
+"""
+
 OP13 = r"""
 WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang,
   regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -130,5 +184,6 @@ ORACLES = {
     "op4_decontaminate": OP4,
     "op6_chat_format": OP6,
     "op8_near_duplicates": OP8,
+    "op11_prefix_trie": OP11,
     "op13_collocations": OP13,
 }
