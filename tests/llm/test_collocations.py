@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from __spark_entry__ import oracle_sql
@@ -65,7 +66,7 @@ def test_against_counting_by_hand(spark, min_count, top, held, burst):
 
 def test_blocks_words_and_bits_that_run_out(spark, monkeypatch):
     monkeypatch.setattr(c, "BLOCK", 5)
-    task = c.Counting(1, 5, [], 10**6, 2)
+    task = c.Counting(5, [], 10**6, 2)
     text = "one two three four five six one two three four five six"
     for _ in range(2):
         task.add("en", c.spaced(text.encode()))
@@ -88,6 +89,39 @@ def test_trie_bursts_and_gives_up_whole_subtrees():
     assert some | dict(zip(*trie.take(0))) == {k: n + 1 for k, n in keys.items()} and not trie.root
 
 
+def test_runs_of_slots_survive_packing():
+    rng = np.random.default_rng(1)
+    runs = [(np.unique(rng.integers(0, 1 << 40, 500, dtype=np.uint64)), None) for _ in range(3)]
+    runs = [(s, rng.integers(1, 2**31, len(s))) for s, _ in runs] + [(runs[0][0], np.ones(len(runs[0][0]), np.int64))]
+    again = [c.unpacked(c.packed(*r)) for r in runs]
+    assert all((a == b).all() and (x == y).all() for (a, x), (b, y) in zip(runs, again))
+    slots, times = c.added(again)
+    want = Counter()
+    for s, t in runs:
+        for k, v in zip(s.tolist(), t.tolist()):
+            want[k] += v
+    assert dict(zip(slots.tolist(), times.tolist())) == want and (np.diff(slots.astype(np.int64)) > 0).all()
+
+
+def test_slots_given_up_early_add_up_to_the_same():
+    whole, parts = c.Counting(2, [], 10**6, 9), c.Counting(2, [], 10**6, 9)
+    runs = []
+    for lang, text in TEXTS * 2:
+        data = c.spaced((text or "").encode())
+        whole.add(lang or "und", data, by_slots=True)
+        parts.add(lang or "und", data, by_slots=True)
+        runs += [r for b in parts.slot_runs(6) for r in b.to_pylist()]
+    (once,) = (b.to_pylist() for b in whole.slot_runs(6))
+    by_range = {r["range"]: c.unpacked(r["run"]) for r in once}
+    for key, (slots, times) in by_range.items():
+        again = c.added([c.unpacked(r["run"]) for r in runs if r["range"] == key])
+        assert (again[0] == slots).all() and (again[1] == times).all()
+        assert (slots >> np.uint64(c.SLOT_BITS - 6) == key).all()
+    pairs = sum(len(v) for v, _ in by_range.values())
+    found = Counter((lang, p) for lang, rank, p, *_ in by_hand(TEXTS * 2, 1, None) if p.count(" ") == 1)
+    assert pairs >= len(found)
+
+
 def test_empty_table(spark):
     assert c.collocations(spark.createDataFrame([], "lang string, text string")).collect() == []
 

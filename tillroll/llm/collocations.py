@@ -1,17 +1,18 @@
 r"""Phrases whose words come together far more often than apart, counted in tries that spill.
 
-Counting is a job of three passes over the texts, each with the same structure in its tasks: a
-trie over word ids with hash containers under it. A container takes the rest of a phrase under
-its first words; when it is full it bursts into containers one word deeper, so the trie stays
-shallow where phrases are few. When the trie of a task holds too much, its largest subtrees
-leave whole as sorted runs, and runs are added up per prefix partition: by the language and the
-first two words of a phrase, so that neither a language nor a frequent first word is one task.
-
-A phrase can be frequent only if all its words and all its pairs of neighbours are. Pass one
-counts words, pass two pairs of frequent words, pass three longer phrases of frequent pairs.
-What is frequent goes into a bit map of fixed size, the only thing that is broadcast. A bit
-that two phrases share lets a phrase through that could have been left out, and no more: counts
-are exact, and the rare ones go at the end of a pass.
+Counting is done by a trie over word ids with hash containers under it. A container takes the
+rest of a phrase under its first words; when it is full it bursts into containers one word
+deeper, so the trie stays shallow where phrases are few. When the trie of a task holds too much,
+its largest subtrees leave whole as sorted runs, and runs are added up per prefix partition: by
+the language and the first three words of a phrase, so that neither a language nor a frequent
+word or pair of words is one task.
+
+A phrase can be frequent only if all its parts are, and most phrases are not. Before the trie
+counts, words, then pairs of frequent words, then triples of frequent pairs are counted by
+hashes alone: sorted runs of slots and counts, of three bytes or so a phrase, are added up per
+range of slots. What reaches the count goes into a bit map of fixed size, the only thing that
+is broadcast. Phrases that share a slot or a bit let one another through and no more: the trie
+counts what is let through exactly, and the rare ones go at the end.
 
 Scores are exact: decimals hold them up to 10**15 occurrences of a phrase and 10**16 words.
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count, islice
 
 import numpy as np
@@ -44,15 +45,21 @@ LONGEST = 5
 TOP = 2000
 #: Phrases that a container takes before it bursts.
 BURST = 4096
-#: Phrases that the trie of a task holds before subtrees leave it.
+#: Phrases that the trie, or slots that the runs, of a task hold before some leave it.
 HELD = 600_000
+SLOTS_HELD = 3_000_000
 #: Words, and bytes of words, that a task numbers before it starts again.
 WORDS_HELD = 400_000
 WORD_BYTES_HELD = 64 << 20
 #: Bytes of text that are cut into words at once.
 BLOCK = 1 << 21
-#: Bits of the map of frequent phrases: 8 MB, however many phrases there are.
+#: Bits of a slot, and of the map of frequent phrases: 8 MB, however many phrases there are.
+SLOT_BITS = 40
 MAP_BITS = 26
+#: Words of the longest phrases that are counted by slots first.
+SIFTED = 3
+#: Ranges of slots are four for each task, up to so many.
+MOST_RANGES_BITS = 16
 #: Parts of a language that are ranked side by side before their best are ranked together.
 SALTS = 32
 
@@ -152,12 +159,14 @@ def blocks(data: bytes, size: int = BLOCK) -> Iterator[bytes]:
 
 
 class Counting:
-    """What a task of one pass holds: numbered words and the trie over them."""
+    """What a task of one pass holds: numbered words, and the trie over them or their slots."""
 
-    def __init__(self, shortest: int, longest: int, maps: list[np.ndarray], held: int, burst: int) -> None:
-        self.shortest, self.longest, self.maps = shortest, longest, maps
-        self.held = held
+    def __init__(self, longest: int, maps: list[np.ndarray], held: int, burst: int) -> None:
+        self.longest, self.maps, self.held = longest, maps, held
         self.trie = HatTrie(burst)
+        self.totals: Counter[bytes] = Counter()
+        self.slots: list[tuple[np.ndarray, np.ndarray]] = []
+        self.slots_held = 0
         self._start()
 
     def _start(self) -> None:
@@ -182,18 +191,31 @@ class Counting:
     def salt(lang: bytes) -> np.uint64:
         return mix(np.array([zlib.crc32(lang) + 1], np.uint64))[0]
 
-    def _frequent(self, level: int, slots: np.ndarray) -> np.ndarray:
-        bits = self.maps[level]
-        return (bits[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-    def _pair_slots(self, ids: np.ndarray, salt: np.uint64) -> np.ndarray:
+    def _hashed(self, ids: np.ndarray, n: int, salt: np.uint64) -> np.ndarray:
+        """64 bits for the phrase of n words at each place."""
         one = self.hashes[ids]
-        return mix(one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:] + salt) >> np.uint64(64 - MAP_BITS)
-
-    def _word_slots(self, ids: np.ndarray, salt: np.uint64) -> np.ndarray:
-        return mix(self.hashes[ids] + salt) >> np.uint64(64 - MAP_BITS)
-
-    def add(self, lang: str, data: bytes) -> None:
+        size = len(ids) - n + 1
+        out = one[:size] + salt
+        for k in range(1, n):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + one[k : k + size]
+        return mix(out)
+
+    def _sifted(self, ids: np.ndarray, salt: np.uint64) -> Iterator[tuple[int, np.ndarray]]:
+        """For each length of phrase where one starts whose parts, as far as is known, and which
+        itself, may be frequent."""
+        good = ids != 0
+        for n in range(1, self.longest + 1):
+            if n > 1:
+                good = good[:-1] & good[1:]
+            if not good.any():
+                return
+            if n <= len(self.maps):
+                at = self._hashed(ids, n, salt)[good] >> np.uint64(64 - MAP_BITS)
+                bits = self.maps[n - 1][at >> np.uint64(3)]
+                good[good] = (bits >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            yield n, good
+
+    def add(self, lang: str, data: bytes, by_slots: bool = False) -> None:
         """Count the phrases of text that was mapped and spaced, of one language."""
         tag = lang.encode("utf-8", "surrogatepass")
         salt = self.salt(tag)
@@ -202,30 +224,41 @@ class Counting:
             ids = np.fromiter(map(self.ids.__getitem__, block.split()), np.int64)
             lang_id = self.ids[b"\xfe" + tag]
             self._numbered()
-            self._phrases(np.append(before, ids), len(before), lang_id, salt)
-            before = np.append(before, ids)[-(self.longest - 1) :] if self.longest > 1 else before
-
-    def _phrases(self, ids: np.ndarray, seen: int, lang_id: int, salt: np.uint64) -> None:
-        """Phrases that end after the first `seen` words, which an earlier block has had."""
-        whole = ids != 0
-        if self.maps:
-            whole &= self._frequent(0, self._word_slots(ids, salt))
-        pairs = whole[:-1] & whole[1:]
-        if len(self.maps) > 1:
-            pairs[pairs] = self._frequent(1, self._pair_slots(ids, salt)[pairs])
-        good = whole
-        for n in range(1, self.longest + 1):
-            if n > 1:
-                good = good[:-1] & pairs[n - 2 :]
-            if n < self.shortest:
-                continue
-            starts = np.flatnonzero(good)
-            starts = starts[starts + n > seen]
-            if n == 1:  # most words repeat within a block, and numbers sort faster than bytes
-                words, times = np.unique(ids[starts], return_counts=True)
-                self.trie.add(dict(zip(self._keys(words[:, None], lang_id), times.tolist())))
-            elif len(starts):
-                self.trie.add(Counter(self._keys(ids[starts[:, None] + np.arange(n)], lang_id)))
+            seen, ids = len(before), np.append(before, ids)
+            self.totals[tag] += int(np.count_nonzero(ids[seen:]))
+            for n, good in self._sifted(ids, salt):
+                starts = np.flatnonzero(good)
+                starts = starts[starts + n > seen]  # others ended in an earlier block
+                if not len(starts):
+                    continue
+                if by_slots:
+                    if n == self.longest:
+                        self._add_slots(self._hashed(ids, n, salt)[starts] >> np.uint64(64 - SLOT_BITS))
+                elif n == 1:  # most words repeat within a block, and numbers sort faster than bytes
+                    words, times = np.unique(ids[starts], return_counts=True)
+                    self.trie.add(dict(zip(self._keys(words[:, None], lang_id), times.tolist())))
+                else:
+                    self.trie.add(Counter(self._keys(ids[starts[:, None] + np.arange(n)], lang_id)))
+            before = ids[len(ids) - self.longest + 1 :] if self.longest > 1 else before
+
+    def _add_slots(self, slots: np.ndarray) -> None:
+        found, times = np.unique(slots, return_counts=True)
+        self.slots.append((found, times))
+        self.slots_held += len(found)
+
+    def slot_runs(self, range_bits: int) -> Iterator[pa.RecordBatch]:
+        """All slots as sorted runs, a row for each range of slots."""
+        if not self.slots:
+            return
+        slots, times = added(self.slots)
+        self.slots, self.slots_held = [], 0
+        ranges = slots >> np.uint64(SLOT_BITS - range_bits)
+        starts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
+        ends = np.append(starts[1:], len(slots))
+        rows = [packed(slots[a:b], times[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ranges[starts].astype(np.int64)), pa.array(rows, pa.binary())], ["range", "run"]
+        )
 
     @staticmethod
     def _keys(words: np.ndarray, lang_id: int) -> list[bytes]:
@@ -236,9 +269,6 @@ class Counting:
         data, width = rows.tobytes(), 4 * rows.shape[1]
         return [data[i : i + width] for i in range(0, len(data), width)]
 
-    def full(self) -> bool:
-        return self.trie.size > self.held
-
     def worn(self) -> bool:
         return len(self.ids) > WORDS_HELD or self.bytes_held > WORD_BYTES_HELD
 
@@ -253,22 +283,21 @@ class Counting:
         name = self.names.__getitem__
         for size, (some, n) in by_size.items():
             ids = np.frombuffer(b"".join(some), ">u4").reshape(-1, size // 4).astype(np.int64)
-            langs, words = ids[:, 0], ids[:, 1:]
+            langs, words = ids[:, 0].tolist(), ids[:, 1:]
             spelt = [list(map(name, column)) for column in words.T.tolist()]
             phrases = spelt[0] if len(spelt) == 1 else list(map(b" ".join, zip(*spelt)))
-            tags = {i: name(i)[1:] for i in set(langs.tolist())}
+            tags = {i: name(i)[1:] for i in set(langs)}
             salt_of = {i: self.salt(tag) for i, tag in tags.items()}
-            salts = np.fromiter(map(salt_of.__getitem__, langs.tolist()), np.uint64, len(langs))
-            one = self.hashes[words]
-            mixed = one[:, 0] * np.uint64(0x9E3779B97F4A7C15) + one[:, 1] if words.shape[1] > 1 else one[:, 0]
-            slots = (mix(mixed + salts) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+            slots = np.fromiter(map(salt_of.__getitem__, langs), np.uint64, len(langs))
+            for k in range(min(words.shape[1], SIFTED)):
+                slots = slots * np.uint64(0x9E3779B97F4A7C15) + self.hashes[words[:, k]]
             texts = {i: tag.decode("utf-8", "surrogatepass") for i, tag in tags.items()}
             run = pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(map(texts.__getitem__, langs.tolist()))),
+                    pa.array(list(map(texts.__getitem__, langs))),
                     pa.array(phrases, pa.binary()),
                     pa.array(np.full(len(n), words.shape[1], np.int32)),
-                    pa.array(slots),
+                    pa.array((mix(slots) >> np.uint64(64 - MAP_BITS)).astype(np.int64)),
                     pa.array(n, pa.int64()),
                 ],
                 schema=_RUN,
@@ -276,6 +305,34 @@ class Counting:
             for start in range(0, run.num_rows, _RUN_ROWS):
                 yield run.slice(start, _RUN_ROWS)
 
+    def total_rows(self) -> pa.RecordBatch:
+        """Word occurrences of each language, as phrases of no words."""
+        rows = [(t.decode("utf-8", "surrogatepass"), b"", 0, 0, n) for t, n in self.totals.items()]
+        return pa.RecordBatch.from_pylist([dict(zip(_RUN.names, r)) for r in rows], _RUN)
+
+
+def added(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of slots and counts as one, slots ascending and counts added up."""
+    slots, times = (np.concatenate(c) for c in zip(*runs))
+    order = np.argsort(slots, kind="stable")
+    slots, times = slots[order], times[order]
+    first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1]))
+    return slots[first], np.add.reduceat(times, first)
+
+
+def packed(slots: np.ndarray, times: np.ndarray) -> bytes:
+    """A sorted run as steps and counts, like bytes side by side, which compresses well."""
+    steps = np.diff(slots, prepend=np.uint64(0)).astype("<u8")
+    planes = steps.view(np.uint8).reshape(-1, 8).T, times.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return b"".join(p.tobytes() for p in planes)
+
+
+def unpacked(run: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(run) // 12
+    bytes_ = np.frombuffer(run, np.uint8)
+    steps = np.ascontiguousarray(bytes_[: 8 * n].reshape(8, n).T).view("<u8")[:, 0]
+    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(bytes_[8 * n :].reshape(4, n).T).view("<u4")[:, 0].astype(np.int64)
+
 
 def spaced(text: bytes) -> bytes:
     """A text with its words apart by spaces and a mark around each end of a piece."""
@@ -283,28 +340,22 @@ def spaced(text: bytes) -> bytes:
     return text.translate(_MAPPED).replace(mark, b" " + mark + b" ")
 
 
-def counted(
-    texts: DataFrame, shortest: int, longest: int, maps: list[np.ndarray], held: int, burst: int
-) -> DataFrame:
-    """Counts of the phrases of `texts` (lang, text as bytes) of some lengths, by language."""
-    context = texts.sparkSession.sparkContext
-    sent = [context.broadcast(m) for m in maps]
+def _run(texts: DataFrame, ddl: str, make: Callable[[], Counting], by_slots: bool, full, end) -> DataFrame:
+    """Feed a `Counting` in each task, by language and in blocks. `full` gives what has to leave
+    it after some work, `end` the rest; both take the task and whether its words are many."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = Counting(shortest, longest, [np.frombuffer(m.value, np.uint8) for m in sent], held, burst)
+        task = make()
         waiting: dict[str, list[bytes]] = defaultdict(list)
         size = 0
 
         def work() -> Iterator[pa.RecordBatch]:
-            nonlocal size
             for lang, parts in waiting.items():
-                task.add(lang, b" \xff ".join(parts))
-                if task.full():
-                    yield from task.runs(held // 2)
+                task.add(lang, b" \xff ".join(parts), by_slots)
+                yield from full(task)
             waiting.clear()
-            size = 0
             if task.worn():
-                yield from task.runs(0)
+                yield from end(task)
                 task._start()
 
         for batch in batches:
@@ -314,22 +365,68 @@ def counted(
                 size += len(data)
                 if size > BLOCK:
                     yield from work()
+                    size = 0
         yield from work()
-        yield from task.runs(0)
+        yield from end(task)
+        if task.totals and not by_slots:
+            yield task.total_rows()
 
     ship(texts.sparkSession)
-    runs = texts.mapInArrow(run, "lang string, phrase binary, words int, slot bigint, n bigint")
-    # a slot stands for a language and the first two words; a partitioning by it is also one by
+    return texts.mapInArrow(run, ddl)
+
+
+def _broadcast(texts: DataFrame, maps: list[np.ndarray]) -> Callable[[], list[np.ndarray]]:
+    sent = [texts.sparkSession.sparkContext.broadcast(m) for m in maps]
+    return lambda: [m.value for m in sent]
+
+
+def frequent_slots(texts: DataFrame, n: int, maps: list[np.ndarray], min_count: int) -> DataFrame:
+    """Slots of phrases of n words that come often enough, among those the maps let through."""
+    tasks = texts.rdd.getNumPartitions()
+    range_bits = min(max(tasks * 4, 64).bit_length(), MOST_RANGES_BITS)
+    held = _broadcast(texts, maps)
+
+    def full(task: Counting) -> Iterator[pa.RecordBatch]:
+        if task.slots_held > SLOTS_HELD:
+            yield from task.slot_runs(range_bits)
+
+    runs = _run(
+        texts, "range bigint, run binary", lambda: Counting(n, held(), HELD, BURST), True,
+        full, lambda task: task.slot_runs(range_bits),
+    )
+
+    def merge(table: pa.Table) -> pa.Table:
+        slots, times = added([unpacked(r.as_py()) for r in table.column("run")])
+        return pa.table({"slot": slots[times >= min_count].astype(np.int64)})
+
+    return runs.groupBy("range").applyInArrow(merge, "slot bigint")
+
+
+def counted(texts: DataFrame, longest: int, maps: list[np.ndarray], held: int, burst: int) -> DataFrame:
+    """Counts of the phrases that the maps let through: lang, phrase, words and n. Rows of no
+    words have all word occurrences of a language."""
+    sent = _broadcast(texts, maps)
+
+    def full(task: Counting) -> Iterator[pa.RecordBatch]:
+        if task.trie.size > held:
+            yield from task.runs(held // 2)
+
+    runs = _run(
+        texts, "lang string, phrase binary, words int, slot bigint, n bigint",
+        lambda: Counting(longest, sent(), held, burst), False, full, lambda task: task.runs(0),
+    )
+    # a slot stands for a language and the first words; a partitioning by it is also one by
     # phrase, so the sums need no shuffle of their own
     merged = runs.repartition("slot").groupBy("slot", "lang", "phrase", "words")
-    return merged.agg(F.sum("n").alias("n"))
+    return merged.agg(F.sum("n").alias("n")).drop("slot")
 
 
-def bit_map(frequent: DataFrame) -> np.ndarray:
-    """The slots of phrases as a map of fixed size."""
+def bit_map(slots: DataFrame) -> np.ndarray:
+    """Slots as a map of fixed size."""
+    bit = F.shiftright("slot", SLOT_BITS - MAP_BITS)
     parts = (
-        frequent.groupBy(F.shiftright("slot", 15).alias("part"))
-        .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32767)).alias("bits"))
+        slots.groupBy(F.shiftright(bit, 15).alias("part"))
+        .agg(F.bitmap_construct_agg(bit.bitwiseAND(32767)).alias("bits"))
         .collect()
     )
     out = np.zeros(1 << (MAP_BITS - 3), np.uint8)
@@ -347,22 +444,14 @@ def phrase_counts(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.col(text).cast("string").cast("binary").alias("text"),
     )
-    done, maps, totals = [], [], None
-    for low, high in [(1, 1), (2, min(2, longest)), (3, longest)][: min(longest, 3)]:
-        found = counted(texts, low, high, maps, held, burst)
-        if totals is None:
-            words = stage(found)
-            totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-            frequent = words.where(F.col("n") >= min_count)
-        else:
-            frequent = stage(found.where(F.col("n") >= min_count))
-        if high < longest:
-            maps.append(bit_map(frequent))
-        done.append(frequent.select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "n"))
-    out = done[0]
-    for more in done[1:]:
-        out = out.union(more)
-    return out, totals
+    maps: list[np.ndarray] = []
+    for n in range(1, min(SIFTED, longest) + 1):
+        maps.append(bit_map(frequent_slots(texts, n, maps, min_count)))
+    found = counted(texts, longest, maps, held, burst)
+    kept = stage(found.where((F.col("n") >= min_count) | (F.col("words") == 0)))
+    totals = kept.where("words = 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    phrases = kept.where("words > 0").select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "n")
+    return phrases, totals
 
 
 def collocations(
@@ -371,7 +460,6 @@ def collocations(
 ) -> DataFrame:
     """Per language its phrases by score: lang, rank, phrase, a, l, r, n and score."""
     frequent, totals = phrase_counts(docs, text, lang, min_count, longest, held, burst)
-    frequent = stage(frequent)
     salted = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = salted.withColumnRenamed("n", "all_words")
     candidates = frequent.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))
