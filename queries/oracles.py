@@ -304,6 +304,7 @@ def build() -> dict[str, str]:
         ),
         "sink_partitioned_overwrite": _EVENTS_LAKE,
         "sink_partitioned_append": _EVENTS_LAKE,
+        "sink_compacted": _EVENTS_LAKE,
         "sink_dimension_overwrite": _with(_EVENTS) + "SELECT * FROM truck",
         "clean_drop_nulls": raw_lines
         + """SELECT * FROM fact WHERE transaction_id IS NOT NULL AND truck_id IS NOT NULL
@@ -350,7 +351,9 @@ def build() -> dict[str, str]:
         + f"""{history} UNION ALL SELECT *, {_PARTS} FROM fact WHERE "at" > {_MARK}""",
         "incremental_load_cleaned": raw_events
         + f"""{history} UNION ALL SELECT *, {_PARTS} FROM clean WHERE "at" > {_MARK}""",
+        "incremental_load_late": _EVENTS_LAKE,
         "dashboard_view": _dashboard(of_events),
+        "dashboard_from_summary": _dashboard(of_events),
         "daily_report": _REPORT,
         "daily_report_from_lake": _REPORT,
         "stream_incremental_load": _EVENTS_LAKE + ' WHERE "at" IS NOT NULL',

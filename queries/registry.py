@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from queries.settings import (
     AS_OF,
@@ -14,17 +15,21 @@ from queries.settings import (
     EVENTS_CUTOFF,
     FIRST_CUSTOMER,
     LAST_CUSTOMER,
+    LOOK_BACK,
+    SECOND_LOAD,
     SELECTED,
     TRUCK,
     VALID_METHODS,
 )
 from tillroll.adapters import (
+    EVENT_METHODS,
     EVENTS,
     events_fact,
     events_star,
     raw_events_star,
     raw_star,
     supplier_star,
+    table,
 )
 from tillroll.functions import (
     as_timestamp,
@@ -50,16 +55,19 @@ from tillroll.operators.clean import (
 from tillroll.operators.filters import previous_day
 from tillroll.operators.star import on_previous_day, roll_up, star_join
 from tillroll.plans import dashboard, load, report
-from tillroll.schemas import TRANSACTION, TRUCK as TRUCK_SCHEMA
+from tillroll.schemas import PAYMENT, TRANSACTION, TRUCK as TRUCK_SCHEMA
 from tillroll.sources import (
     Lake,
     TableSource,
+    compact,
     new_folder,
     read_csv,
+    read_dimension,
     read_lake,
     read_mark,
     read_table,
     read_transactions,
+    refresh_summary,
     register_lake,
     write_csv,
     write_dimension,
@@ -99,24 +107,32 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources ---------------------------------------------------------------------------
 
 
+def _scan(spark: SparkSession, table: DataFrame, schema: StructType) -> DataFrame:
+    """A sample table as a source of its own, a folder with one column too many, read as any
+    other source is."""
+    path = new_folder(spark, "source")
+    table.withColumn("source_row", F.monotonically_increasing_id()).write.parquet(path)
+    return read_table(spark, TableSource("parquet", path), schema)
+
+
 @query
 def scan_payment_dim(spark, sf_dir):
-    return events_star(spark, sf_dir).payment
+    return _scan(spark, events_star(spark, sf_dir).payment, PAYMENT)
 
 
 @query
 def scan_truck_dim(spark, sf_dir):
-    return events_star(spark, sf_dir).truck
+    return _scan(spark, events_star(spark, sf_dir).truck, TRUCK_SCHEMA)
 
 
 @query
 def scan_history(spark, sf_dir):
-    return _events(spark, sf_dir).where(up_to(EVENTS_CUTOFF))
+    return _scan(spark, _events(spark, sf_dir), TRANSACTION).where(up_to(EVENTS_CUTOFF))
 
 
 @query
 def scan_increment(spark, sf_dir):
-    return _events(spark, sf_dir).where(after(EVENTS_CUTOFF))
+    return _scan(spark, _events(spark, sf_dir), TRANSACTION).where(after(EVENTS_CUTOFF))
 
 
 @query
@@ -150,8 +166,8 @@ def _registered_lake(spark, sf_dir) -> str:
     lake = _new_lake(spark)
     star = events_star(spark, sf_dir)
     write_transactions(star.fact, lake, "overwrite")
-    write_dimension(star.payment, lake.payments)
-    write_dimension(star.truck, lake.trucks)
+    write_dimension(star.payment, lake, "payment")
+    write_dimension(star.truck, lake, "truck")
     spark.sql(f"DROP DATABASE IF EXISTS {_DATABASE} CASCADE")
     register_lake(spark, lake, _DATABASE)
     return _DATABASE
@@ -191,9 +207,20 @@ def sink_partitioned_append(spark, sf_dir):
 @query
 def sink_dimension_overwrite(spark, sf_dir):
     lake, truck = _new_lake(spark), events_star(spark, sf_dir).truck
-    write_dimension(truck, lake.trucks)
-    write_dimension(truck, lake.trucks)
-    return read_table(spark, TableSource("parquet", lake.trucks), TRUCK_SCHEMA)
+    write_dimension(truck, lake, "truck")
+    write_dimension(truck, lake, "truck")
+    return read_dimension(spark, lake, "truck")
+
+
+@query
+def sink_compacted(spark, sf_dir):
+    """Every day arrives in three loads and is put together."""
+    lake, fact = _new_lake(spark), _events(spark, sf_dir)
+    hour = hour_of_day(F.col("at"))
+    for part in (hour < 6, (hour >= 6) & (hour < 18), hour >= 18):
+        write_transactions(fact.where(part), lake, "append")
+    compact(spark, lake)
+    return read_transactions(spark, lake)
 
 
 # --- cleaning --------------------------------------------------------------------------
@@ -384,22 +411,52 @@ def initial_load(spark, sf_dir):
     return read_transactions(spark, lake)
 
 
-@query
-def incremental_load(spark, sf_dir):
+def _loaded(spark, sf_dir, rule: Validity | None) -> Lake:
+    """History, an increment, and all increments again after the mark went back, as after a
+    restore of the source: half of the last load is in the lake already."""
     lake, star = _new_lake(spark), raw_events_star(spark, sf_dir)
     load.initial_load(star, lake, EVENTS_CUTOFF, _RULE)
-    load.incremental_load(star.fact, lake, EVENTS_CUTOFF)
-    return read_transactions(spark, lake)
+    first = star.fact.where(up_to(SECOND_LOAD))
+    load.incremental_load(first, lake, EVENTS_CUTOFF, rule)
+    write_mark(spark, lake, datetime.fromisoformat(EVENTS_CUTOFF))
+    load.incremental_load(star.fact, lake, EVENTS_CUTOFF, rule)
+    return lake
+
+
+@query
+def incremental_load(spark, sf_dir):
+    return read_transactions(spark, _loaded(spark, sf_dir, None))
 
 
 @query
 def incremental_load_cleaned(spark, sf_dir):
-    lake, star = _new_lake(spark), raw_events_star(spark, sf_dir)
-    load.initial_load(star, lake, EVENTS_CUTOFF, _RULE)
-    load.incremental_load(star.fact, lake, EVENTS_CUTOFF, _RULE)
+    return read_transactions(spark, _loaded(spark, sf_dir, _RULE))
+
+
+@query
+def incremental_load_late(spark, sf_dir):
+    """Purchases of the days before the second load arrive after it, within the look-back."""
+    lake, star = _new_lake(spark), events_star(spark, sf_dir)
+    late = F.col("payment_method_id") == EVENT_METHODS["purchase"]
+    load.initial_load(star, lake, EVENTS_CUTOFF, None)
+    load.incremental_load(star.fact.where(up_to(SECOND_LOAD)).where(~late), lake, EVENTS_CUTOFF)
+    load.incremental_load(star.fact, lake, EVENTS_CUTOFF, look_back=LOOK_BACK)
     return read_transactions(spark, lake)
 
 
+@query
+def dashboard_from_summary(spark, sf_dir):
+    """History and two increments that overlap; the dashboard reads the sums of each load."""
+    lake, star = _new_lake(spark), events_star(spark, sf_dir)
+    load.initial_load(star, lake, EVENTS_CUTOFF, None)
+    refresh_summary(spark, lake)
+    load.incremental_load(star.fact.where(up_to(SECOND_LOAD)), lake, EVENTS_CUTOFF)
+    refresh_summary(spark, lake)
+    load.incremental_load(star.fact, lake, EVENTS_CUTOFF, look_back=LOOK_BACK)
+    with dashboard.open_lake_dashboard(spark, lake, SELECTED) as view:
+        return stage(dashboard.dashboard_lines(view))
+
+
 @query
 def dashboard_view(spark, sf_dir):
     with dashboard.open_dashboard(events_star(spark, sf_dir), SELECTED) as view:
@@ -415,21 +472,28 @@ def daily_report(spark, sf_dir):
 def daily_report_from_lake(spark, sf_dir):
     lake, star = _new_lake(spark), events_star(spark, sf_dir)
     write_transactions(star.fact, lake, "overwrite")
-    write_dimension(star.payment, lake.payments)
-    write_dimension(star.truck, lake.trucks)
+    write_dimension(star.payment, lake, "payment")
+    write_dimension(star.truck, lake, "truck")
     return report.daily_report(read_lake(spark, lake, [DAY]), AS_OF)
 
 
-@query
-def stream_incremental_load(spark, sf_dir):
-    lake = _new_lake(spark)
+def _landed(spark: SparkSession, folder: str, lake: Lake, checkpoint: str) -> None:
     landing = land_stream(
-        spark,
-        f"{sf_dir}/{{events}}.parquet",  # as a pattern, a file will do as well as a folder
-        lake,
-        checkpoint=new_folder(spark, "landing"),
-        schema=EVENTS,
-        to_fact=events_fact,
+        spark, folder, lake, checkpoint, schema=EVENTS, to_fact=events_fact, maxFilesPerTrigger="2"
     )
     landing.awaitTermination()
+
+
+@query
+def stream_incremental_load(spark, sf_dir):
+    """Files of events land in several batches. Then those of one kind are delivered again, and
+    a stream that has lost its checkpoint delivers everything once more."""
+    lake, folder = _new_lake(spark), new_folder(spark, "drop")
+    events = table(spark, sf_dir, "events")
+    events.repartition(3).write.parquet(folder)
+    checkpoint = new_folder(spark, "landing")
+    _landed(spark, folder, lake, checkpoint)
+    events.where("event_type = 'click'").coalesce(1).write.mode("append").parquet(folder)
+    _landed(spark, folder, lake, checkpoint)
+    _landed(spark, folder, lake, new_folder(spark, "landing"))
     return read_transactions(spark, lake)

@@ -11,6 +11,7 @@ from tillroll.adapters import events_star, supplier_star
 from tillroll.operators import metrics
 from tillroll.operators.filters import between_days, on_day
 from tillroll.operators.star import dimension_bytes, roll_up, star_join
+from tillroll.plans import report
 from tillroll.sources import read_transactions, write_transactions
 
 
@@ -50,8 +51,8 @@ def _nodes(df):
 
 
 def test_cutoffs_reach_the_scan(spark, sf_dir):
-    assert "LessThanOrEqual(ts," in executed(QUERIES["scan_history"](spark, sf_dir))
-    assert "GreaterThan(ts," in executed(QUERIES["scan_increment"](spark, sf_dir))
+    assert "LessThanOrEqual(at," in executed(QUERIES["scan_history"](spark, sf_dir))
+    assert "GreaterThan(at," in executed(QUERIES["scan_increment"](spark, sf_dir))
 
 
 def test_roll_up_reads_only_its_columns_and_sums_before_joining(spark, sf_dir):
@@ -140,3 +141,12 @@ def test_cumulative_ends_at_total(spark, sf_dir):
         F.max_by("cumulative_total_pounds", "date").alias("total_pounds")
     )
     assert sorted(rows(last)) == sorted(rows(metrics.revenue_by_truck(sales)))
+
+
+def test_the_report_is_one_aggregation_of_the_day(spark, sf_dir, monkeypatch):
+    staged = []
+    real = report.stage
+    monkeypatch.setattr(report, "stage", lambda df: staged.append(executed(df)) or real(df))
+    daily_lines = report.daily_report(events_star(spark, sf_dir), date(2024, 1, 16))
+    assert daily_lines.count() > 5
+    assert len(staged) == 1 and staged[0].count("Expand") == 1

@@ -18,7 +18,7 @@ from tillroll.schemas import Star
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # What a sale can be grouped by besides its two dimensions.
-_GRAINS = {
+GRAINS = {
     "date": lambda: sale_date(F.col("at")),
     "hour_of_day": lambda: hour_of_day(F.col("at")),
     "price_segment": lambda: price_segment(F.col("total")),
@@ -86,6 +86,30 @@ def _measures() -> list[Column]:
     ]
 
 
+_IDS = ("truck_id", "payment_method_id")
+_ADDED = ("pence", "sales", "priced")
+
+
+def summed(fact: DataFrame, *grains: str) -> DataFrame:
+    """Additive measures per truck id, payment method id and the given grains."""
+    sales = fact.select(*_IDS, "transaction_id", "total", *[GRAINS[g]().alias(g) for g in grains])
+    return sales.groupBy(*_IDS, *grains).agg(*_measures())
+
+
+def summed_again(sums: DataFrame, *grains: str) -> DataFrame:
+    """Sums of the same, or coarser, grains from sums."""
+    return sums.groupBy(*_IDS, *grains).agg(*(F.sum(c).alias(c) for c in _ADDED))
+
+
+def named(sums: DataFrame, payment: DataFrame, truck: DataFrame) -> DataFrame:
+    """Sums with the names their ids stand for."""
+    return (
+        sums.join(payment.select("payment_method_id", "payment_method"), "payment_method_id")
+        .join(truck.select("truck_id", "truck_name"), "truck_id")
+        .drop(*_IDS)
+    )
+
+
 def roll_up(star: Star, *grains: str) -> DataFrame:
     """Additive measures per truck, payment method and the given grains.
 
@@ -95,29 +119,14 @@ def roll_up(star: Star, *grains: str) -> DataFrame:
     Sums and counts are additive, so a dimension with repeated keys fans out the sums
     exactly as it would fan out the sales.
     """
-    sales = star.fact.select(
-        "truck_id",
-        "payment_method_id",
-        "transaction_id",
-        "total",
-        *[_GRAINS[grain]().alias(grain) for grain in grains],
-    )
-    per_id = sales.groupBy("truck_id", "payment_method_id", *grains).agg(*_measures())
-    payment = star.payment.select("payment_method_id", "payment_method")
-    truck = star.truck.select("truck_id", "truck_name")
-    return (
-        per_id.join(payment, "payment_method_id")
-        .join(truck, "truck_id")
-        .drop("payment_method_id", "truck_id")
-    )
+    return named(summed(star.fact, *grains), star.payment, star.truck)
 
 
 def by_name(sales: DataFrame) -> DataFrame:
     """A roll-up summed once more, by names instead of ids. What is kept for several readers
     is then bounded by names, methods and grains, however many ids share a name."""
-    added = ("pence", "sales", "priced")
-    keys = [c for c in sales.columns if c not in added]
-    return sales.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in added))
+    keys = [c for c in sales.columns if c not in _ADDED]
+    return sales.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in _ADDED))
 
 
 def as_measures(sales: DataFrame) -> DataFrame:
@@ -128,7 +137,7 @@ def as_measures(sales: DataFrame) -> DataFrame:
     return sales.select(
         "truck_name",
         "payment_method",
-        *[expression().alias(grain) for grain, expression in _GRAINS.items()],
+        *[expression().alias(grain) for grain, expression in GRAINS.items()],
         F.col("total").alias("pence"),
         F.col("transaction_id").isNotNull().cast("long").alias("sales"),
         F.col("total").isNotNull().cast("long").alias("priced"),

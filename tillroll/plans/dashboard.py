@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import percentage_difference, pounds, ratio
@@ -18,8 +18,15 @@ from tillroll.operators.metrics import (
     payment_distribution,
     pence_by_truck,
 )
-from tillroll.operators.star import by_name, roll_up
+from tillroll.operators.star import by_name, named, roll_up, summed_again
 from tillroll.schemas import Star
+from tillroll.sources.lake import (
+    Lake,
+    manifest,
+    read_dimension,
+    read_summaries,
+    refresh_summary,
+)
 
 
 @contextmanager
@@ -88,6 +95,27 @@ def open_dashboard(star: Star, names: Sequence[str] | None = None) -> Iterator[D
         yield dashboard(dates, hours, names)
 
 
+def kept_sales(spark: SparkSession, lake: Lake, *grains: str) -> DataFrame:
+    """What `roll_up` gives over the lake, from its kept sums: no sale is read."""
+    state = manifest(spark, lake)
+    sums = summed_again(read_summaries(spark, lake, state), *grains)
+    return named(
+        sums, read_dimension(spark, lake, "payment", state), read_dimension(spark, lake, "truck", state)
+    )
+
+
+@contextmanager
+def open_lake_dashboard(
+    spark: SparkSession, lake: Lake, names: Sequence[str] | None = None
+) -> Iterator[Dashboard]:
+    """A dashboard over all sales of the lake that reads none of those summed before. Sums are
+    brought up to date from the loads that came since; names are looked up now."""
+    refresh_summary(spark, lake)
+    by_hour = by_name(kept_sales(spark, lake, "hour_of_day").drop("payment_method"))
+    with shared(by_name(kept_sales(spark, lake, "date"))) as dates, shared(by_hour) as hours:
+        yield dashboard(dates, hours, names)
+
+
 def dashboard_lines(view: Dashboard) -> DataFrame:
     """All frames of a dashboard as lines: widget, label, detail and value."""
 

@@ -3,50 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Collection
-from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import ntz, sale_date
+from tillroll.functions import sale_date
 from tillroll.operators.clean import Validity, clean_transactions
 from tillroll.schemas import HISTORY_CUTOFF, TRANSACTION, Star
-from tillroll.sources.lake import (
-    Lake,
-    add_partitions,
-    read_days,
-    read_mark,
-    write_dimension,
-    write_mark,
-    write_transactions,
-)
+from tillroll.sources.lake import Lake, Written, add_partitions, changing, read_days
+from tillroll.sources.manifest import Manifest
 from tillroll.sources.tables import after, up_to
 
 
-@dataclass(frozen=True)
-class Increment:
-    """What a load found: number of rows, latest sale and the days touched."""
-
-    rows: int = 0
-    latest: datetime | None = None
-    days: frozenset[date] = frozenset()
-
-
 def initial_load(
-    star: Star, lake: Lake, cutoff=HISTORY_CUTOFF, rule: Validity = Validity()
-) -> None:
-    """Replace the lake with the cleaned history up to the cutoff.
+    star: Star, lake: Lake, cutoff=HISTORY_CUTOFF, rule: Validity | None = Validity()
+) -> Written:
+    """Replace the lake with the history up to the cutoff, cleaned unless `rule` is None.
 
-    The mark goes back to the cutoff first. A crash after that leaves either the old lake,
-    of which the next increment finds everything landed, or a lake to be loaded again; a
-    late mark over a fresh lake would leave a gap.
+    Sales, dimensions and the mark, which goes back to the cutoff, change together: readers,
+    and the next load after a crash, find the old lake or the new one.
     """
-    write_mark(star.fact.sparkSession, lake, datetime.fromisoformat(str(cutoff)))
     history = star.fact.where(up_to(cutoff))
-    write_transactions(clean_transactions(history, rule), lake, "overwrite")
-    write_dimension(star.payment, lake.payments)
-    write_dimension(star.truck, lake.trucks)
+    with changing(star.fact.sparkSession, lake) as draft:
+        found = draft.replace_sales(history if rule is None else clean_transactions(history, rule))
+        draft.put_dimension("payment", star.payment)
+        draft.put_dimension("truck", star.truck)
+        draft.mark = datetime.fromisoformat(str(cutoff))
+    return found
 
 
 def increment_stats(increment: DataFrame) -> DataFrame:
@@ -56,7 +40,7 @@ def increment_stats(increment: DataFrame) -> DataFrame:
     )
 
 
-def profile(increment: DataFrame) -> Increment:
+def profile(increment: DataFrame) -> Written:
     """Measure an increment in one pass over `at`; the driver gets one row per day."""
     by_day = (
         increment.groupBy(sale_date(F.col("at")).alias("date"))
@@ -65,8 +49,8 @@ def profile(increment: DataFrame) -> Increment:
         .collect()
     )
     if not by_day:
-        return Increment()
-    return Increment(
+        return Written()
+    return Written(
         rows=sum(r["row_count"] for r in by_day),
         latest=max(r["latest"] for r in by_day),
         days=frozenset(r["date"] for r in by_day),
@@ -93,23 +77,28 @@ def _identified(sales: DataFrame) -> DataFrame:
     )
 
 
-def append_new(
-    increment: DataFrame, lake: Lake, days: Collection[date], once: bool = False
-) -> None:
-    """Append the rows of these days that the lake does not hold yet; with `once`, one row
-    for each sale.
+def unlanded(
+    increment: DataFrame, lake: Lake, state: Manifest, days: Collection[date], once: bool = False
+) -> DataFrame:
+    """The rows of these days that the lake does not hold; with `once`, one row for each sale.
 
-    Only the folders of these days are listed and only the identity columns read back;
-    repeated identities are collapsed before the shuffle. Running it again after a crash,
-    before the mark has moved, appends nothing.
+    Only the folders of these days are read, and only the identity columns; repeated
+    identities are collapsed before the shuffle.
     """
     arriving = _identified(increment)
     if once:
         arriving = arriving.dropDuplicates(_IDENTITY)
-    landed = read_days(increment.sparkSession, lake, days)
+    landed = read_days(increment.sparkSession, lake, days, state)
     known = _identified(landed).select(*_IDENTITY).distinct()
-    fresh = arriving.join(known, _IDENTITY, "left_anti")
-    write_transactions(fresh.select(*TRANSACTION.names), lake, "append")
+    return arriving.join(known, _IDENTITY, "left_anti").select(*TRANSACTION.names)
+
+
+def append_new(
+    increment: DataFrame, lake: Lake, days: Collection[date], once: bool = False
+) -> Written:
+    """Append the rows of these days that the lake does not hold yet, as one load."""
+    with changing(increment.sparkSession, lake) as draft:
+        return draft.add_sales(unlanded(increment, lake, draft.before, days, once))
 
 
 def incremental_load(
@@ -118,22 +107,31 @@ def incremental_load(
     default_mark=HISTORY_CUTOFF,
     rule: Validity | None = None,
     table: str | None = None,
-) -> Increment:
-    """Append sales newer than the mark, then move the mark to the newest of them.
-
-    Increments are not cleaned unless a `rule` is given. Sales at or before the mark that
-    arrive late are not seen; `streaming.landing` takes those. One writer at a time.
+    look_back: timedelta = timedelta(0),
+) -> Written:
+    """Append sales newer than the mark and move the mark to the newest of them, together.
+
+    Increments are not cleaned unless a `rule` is given. With `look_back`, sales that arrived
+    late, within so long before the mark, are taken too; the mark never goes back for them.
+    The source is scanned once: the write itself counts the rows and finds the latest. What
+    the lake holds already is left out. The lake knows its latest sale, so where none is newer
+    than the start of the window, as after loads that followed each other, nothing is joined.
+    Older sales are left to `streaming.landing`. One writer at a time.
     """
     spark = fact.sparkSession
-    mark = read_mark(spark, lake, default_mark).first()["mark"]
-    found = profile(fact.where(after(mark)))
-    if found.latest is None:
-        return found
-    increment = fact.where(after(mark) & (F.col("at") <= ntz(found.latest)))
-    if rule is not None:
-        increment = clean_transactions(increment, rule)
-    append_new(increment, lake, found.days)
-    if table is not None:
-        add_partitions(spark, table, found.days)
-    write_mark(spark, lake, found.latest)
+    with changing(spark, lake) as draft:
+        mark = draft.mark or datetime.fromisoformat(str(default_mark))
+        start = mark - look_back
+        increment = fact.where(after(start))
+        if rule is not None:
+            increment = clean_transactions(increment, rule)
+        latest = draft.before.latest
+        if latest is not None and latest > start:
+            open_days = [day for day in draft.before.all_days() if day >= start.date()]
+            increment = unlanded(increment, lake, draft.before, open_days)
+        found = draft.add_sales(increment)
+        if found.latest is not None and found.latest > mark:
+            draft.mark = found.latest
+    if table is not None and found.days:
+        add_partitions(spark, lake, table, found.days)
     return found

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
+    DateType,
     IntegerType,
     LongType,
     StringType,
@@ -48,7 +49,30 @@ PAYMENT = StructType(
     ]
 )
 
-MARK = StructType([StructField("number", LongType()), StructField("mark", TimestampNTZType())])
+# One row for each thing that a state of the lake consists of, see `sources.manifest`.
+MANIFEST = StructType(
+    [
+        StructField("kind", StringType()),
+        StructField("name", StringType()),
+        StructField("load", LongType()),
+        StructField("day", DateType()),
+        StructField("at", TimestampNTZType()),
+    ]
+)
+
+# Sales summed by their ids and every grain a measure can ask for.
+SUMMARY = StructType(
+    [
+        StructField("truck_id", LongType()),
+        StructField("payment_method_id", LongType()),
+        StructField("date", DateType()),
+        StructField("hour_of_day", IntegerType()),
+        StructField("price_segment", StringType()),
+        StructField("pence", LongType()),
+        StructField("sales", LongType()),
+        StructField("priced", LongType()),
+    ]
+)
 
 # Last instant of history, taken by the initial load (inclusive).
 HISTORY_CUTOFF = "2025-10-25 23:58:00"

@@ -1,12 +1,19 @@
 from tillroll.sources.lake import (
     Lake,
     add_partitions,
+    changing,
+    compact,
+    manifest,
     read_catalog,
     read_days,
+    read_dimension,
     read_lake,
     read_mark,
+    read_summaries,
     read_transactions,
+    refresh_summary,
     register_lake,
+    vacuum,
     write_dimension,
     write_mark,
     write_transactions,
@@ -18,17 +25,24 @@ __all__ = [
     "Lake",
     "TableSource",
     "add_partitions",
+    "changing",
+    "compact",
+    "manifest",
     "new_folder",
     "read_catalog",
     "read_csv",
     "read_days",
+    "read_dimension",
     "read_lake",
     "read_mark",
     "read_star",
+    "read_summaries",
     "read_table",
     "read_transactions",
+    "refresh_summary",
     "register_lake",
     "stage",
+    "vacuum",
     "write_csv",
     "write_dimension",
     "write_mark",

@@ -32,6 +32,22 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under a path, none if there is no such path."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(root) if s.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the lake. Spark's own writers only ever replace one."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Compute a small intermediate once and keep it in the shared folder, so several
     branches can read it without going back to the fact table. It outlives executors."""
