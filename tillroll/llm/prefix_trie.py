@@ -50,6 +50,12 @@ BUSY_SHARE = 1000
 _SUMS = ("s1", "s2", "s3", "s4")
 
 
+def _sorted(df: DataFrame) -> DataFrame:
+    """The side of a join that is to be shuffled and sorted at any size: of dozens of rounds the
+    driver would hold a broadcast table each."""
+    return df.hint("merge")
+
+
 def numbered_turns(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """Turns as (conv, part, at, said, chars): `at` orders the turns inside a part, parts are in
     order too, and `said` is a digest of role and text."""
@@ -89,12 +95,12 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         {"shared": shared, "base": F.col("conv") - F.col("conv") % GROUP}
     )
     bases = convs.where("conv = base").select("base", F.col("n").alias("base_n"))
-    convs = convs.join(bases, "base", "left").withColumn(
+    convs = convs.join(_sorted(bases), "base", "left").withColumn(
         "taken", F.least("shared", F.coalesce("base_n", F.lit(0)))
     )
     convs = convs.withColumn("length", F.col("taken") + F.greatest(F.col("n") - F.col("shared"), F.lit(0)))
     convs = stage(convs.select("conv", "base", "shared", "taken", "length"))
-    numbered = turns.join(spans.join(convs, "conv"), ["conv", "part"]).withColumn(
+    numbered = turns.join(_sorted(spans.join(_sorted(convs), "conv")), ["conv", "part"]).withColumn(
         "number", F.col("at") + F.col("before") + 1
     )
     own = numbered.where("number > shared").select(
@@ -104,7 +110,7 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     heads = numbered.where(f"conv = base AND number < {MOST_SHARED}").select("base", "number", "said", "chars")
     given = (
         convs.where("taken > 0")
-        .join(heads, "base")
+        .join(_sorted(heads), "base")
         .where("number <= taken")
         .select("conv", F.lit(-1).cast("long").alias("part"), F.col("number").alias("depth"), "said", "chars", "length")
     )
@@ -124,7 +130,7 @@ def named_prefixes(turns: DataFrame) -> DataFrame:
     parts = parts.select(
         "conv", "part", *(F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in _SUMS)
     )
-    whole = running.join(parts, ["conv", "part"])
+    whole = running.join(_sorted(parts), ["conv", "part"])
 
     def name(depth: Column, sums: list[Column]) -> Column:
         return F.md5(F.concat_ws(".", *(c.cast("string") for c in (depth, *sums))))
@@ -144,38 +150,41 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
     """(id, *values) summed over the subtree of each node of a forest of (id, parent, *values).
 
     Ids are unique, roots have no parent. `edge` sums are what was taken out between a node and
-    its present parent.
+    its present parent. A round is one job: what goes in it is read from what it wrote.
     """
     edges = [f"edge_{v}" for v in values]
-    alive = stage(tree.select("id", "parent", *values, *(F.lit(0).cast("long").alias(e) for e in edges)))
+    nothing = [F.lit(0).cast("long").alias(e) for e in edges]
+    kids = tree.where("parent IS NOT NULL").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("kids"))
+    alive = stage(
+        tree.join(_sorted(kids), "id", "left").select(
+            "id", "parent", *values, *nothing, F.coalesce("kids", F.lit(0)).alias("kids")
+        )
+    )
     raked, spliced = [], []
     while not alive.isEmpty():
-        kids = alive.where("parent IS NOT NULL").groupBy(F.col("parent").alias("id"))
-        marked = stage(alive.join(kids.agg(F.count("*").alias("kids")), "id", "left"))
-        leaf = F.col("kids").isNull()
-        raked.append(marked.where(leaf).select("id", *values))
-        below = marked.where("parent IS NOT NULL").groupBy(F.col("parent").alias("id"))
-        below = below.agg(
+        # what leaves add to a parent, and the children that are left to it
+        leaf = F.col("kids") == 0
+        below = alive.where("parent IS NOT NULL").groupBy(F.col("parent").alias("id")).agg(
             F.count_if(~leaf).alias("left"),
             F.min(F.when(~leaf, F.col("id"))).alias("only"),
             *(F.sum(F.when(leaf, F.col(v) + F.col(e)).otherwise(0)).alias(f"add_{v}") for v, e in zip(values, edges)),
         )
         rank = lambda c: F.xxhash64(F.lit(len(raked)), c)
         peak = (rank(F.col("id")) > rank(F.col("parent"))) & (rank(F.col("id")) > rank(F.col("only")))
-        raised = stage(
-            marked.where(~leaf).join(below, "id").select(
-                "id", "parent", "only",
-                *((F.col(v) + F.col(f"add_{v}")).alias(v) for v in values),
-                *edges,
-                F.coalesce((F.col("left") == 1) & F.col("parent").isNotNull() & peak, F.lit(False)).alias("gone"),
-            )
+        raised = alive.join(_sorted(below), "id", "left").select(
+            "id", "parent", "only", *edges,
+            *((F.col(v) + F.coalesce(f"add_{v}", F.lit(0))).alias(v) for v in values),
+            F.coalesce("left", F.lit(0)).alias("left"),
+            leaf.alias("leaf"),
+            F.coalesce((F.col("left") == 1) & F.col("parent").isNotNull() & peak, F.lit(False)).alias("gone"),
         )
         gone = raised.where("gone").select(
             F.col("only").alias("id"), F.col("id").alias("above"), F.col("parent").alias("higher"),
             *(F.col(v).alias(f"above_{v}") for v in values),
             *((F.col(v) + F.col(e)).alias(f"more_{v}") for v, e in zip(values, edges)),
         )
-        hung = stage(raised.where("NOT gone").join(gone, "id", "left"))
+        hung = stage(raised.where("NOT gone").join(_sorted(gone), "id", "left"))
+        raked.append(hung.where("leaf").select("id", *values))
         spliced.append(
             hung.where("above IS NOT NULL").select(
                 F.col("above").alias("id"),
@@ -183,21 +192,22 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
                 *((F.col(f"above_{v}") + F.col(e)).alias(v) for v, e in zip(values, edges)),
             )
         )
-        alive = hung.select(
+        alive = hung.where("NOT leaf").select(
             "id",
             F.coalesce("higher", "parent").alias("parent"),
             *values,
             *((F.col(e) + F.coalesce(f"more_{v}", F.lit(0))).alias(e) for v, e in zip(values, edges)),
+            F.col("left").alias("kids"),
         )
     if not raked:
         return tree.select("id", *values)
     done = reduce(DataFrame.union, raked)
     # a node taken out points to the one it hung above, which may have been taken out later:
     # pointers are doubled until they end at a raked node
-    back = stage(reduce(DataFrame.union, spliced)) if spliced else None
-    while back is not None:
+    back = stage(reduce(DataFrame.union, spliced))
+    while True:
         ends = back.select(F.col("id").alias("to"), F.col("to").alias("next"), *(F.col(v).alias(f"add_{v}") for v in values))
-        further = stage(back.join(ends, "to", "left"))
+        further = stage(back.join(_sorted(ends), "to", "left"))
         if further.where("next IS NOT NULL").isEmpty():
             break
         back = further.select(
@@ -205,11 +215,9 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
             F.coalesce("next", "to").alias("to"),
             *((F.col(v) + F.coalesce(f"add_{v}", F.lit(0))).alias(v) for v in values),
         )
-    if back is None:
-        return done
     totals = done.select(F.col("id").alias("to"), *(F.col(v).alias(f"add_{v}") for v in values))
     return done.union(
-        back.join(totals, "to").select("id", *((F.col(v) + F.col(f"add_{v}")).alias(v) for v in values))
+        back.join(_sorted(totals), "to").select("id", *((F.col(v) + F.col(f"add_{v}")).alias(v) for v in values))
     )
 
 
@@ -274,8 +282,8 @@ def prefix_trie(
     )
     nodes = stage(nodes.union(top))
     kids = nodes.where("parent IS NOT NULL").groupBy("parent").agg(F.count("*").alias("n_children"))
-    kids = stage(kids.withColumnRenamed("parent", "node"))
-    known = stage(nodes.join(kids, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
+    kids = kids.withColumnRenamed("parent", "node")
+    known = stage(nodes.join(_sorted(kids), "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
 
     parents = known.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), "n_children")
     many = known.count() // BUSY_SHARE
@@ -283,7 +291,7 @@ def prefix_trie(
     quiet = parents.where((F.col("n_children") > 0) & (F.col("n_children") <= many)).drop("n_children")
     looked = known.join(busy, "parent", "left")
     found = looked.where("parent_conv_id IS NOT NULL OR parent IS NULL").unionByName(
-        looked.where("parent_conv_id IS NULL AND parent IS NOT NULL").drop("parent_conv_id").join(quiet, "parent")
+        looked.where("parent_conv_id IS NULL AND parent IS NOT NULL").drop("parent_conv_id").join(_sorted(quiet), "parent")
     )
 
     leaves = (F.col("n_children") == 0).cast("long")
@@ -294,8 +302,8 @@ def prefix_trie(
         convs.where("length = 0").select(root, "conv")
     )
     return (
-        found.join(sums, "node")
-        .join(joined_ids(ends), "node", "left")
+        found.join(_sorted(sums), "node")
+        .join(_sorted(joined_ids(ends)), "node", "left")
         .select(
             "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
             F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
