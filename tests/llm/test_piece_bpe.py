@@ -8,6 +8,7 @@ import sentencepiece
 
 from __spark_entry__ import queries
 from tillroll.llm import piece_bpe
+from tillroll.llm.common import Kept
 from tillroll.llm.queries import PIECES
 
 PATH = public_tokenizers.path(PIECES)
@@ -53,8 +54,8 @@ def test_backtracking_equals_plain_merging(model):
 
 def test_blocks_and_a_cache_that_turns_over(model, library, monkeypatch):
     monkeypatch.setattr(piece_bpe, "BLOCK", 7)
-    monkeypatch.setattr(model, "known", piece_bpe.Kept(3))
-    monkeypatch.setattr(model, "pairs", piece_bpe.Kept(2))
+    monkeypatch.setattr(model, "known", Kept(3))
+    monkeypatch.setattr(model, "pairs", Kept(2))
     text = "one two  three four\nfive six seven   eight nine ten one two"
     assert model.encode(text).tolist() == library.encode(text, add_eos=True)
     assert len(model.known.young) <= 3 and len(model.known.old) <= 3

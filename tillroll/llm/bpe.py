@@ -23,12 +23,14 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tillroll.llm.common import map_rows
+from tillroll.llm.common import Kept, map_rows
 
 #: Words longer than this are merged through a heap.
 LONG_WORD = 512
-#: Encoded words that a task keeps; when full, it starts again.
-WORDS_KEPT = 200_000
+#: Encoded chunks, and pieces of them, of one of two generations that a task keeps, and the
+#: letters of the longest that it keeps.
+WORDS_KEPT = 100_000
+LETTERS_KEPT = 48
 _NONE = 1 << 60
 
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]")
@@ -65,8 +67,7 @@ class WordBpe:
         self.specials = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
-        self.known: dict[str, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
+        self.known, self.known_pieces = Kept(WORDS_KEPT), Kept(WORDS_KEPT)
 
     def parts(self, word: bytes) -> list[int]:
         """Merge the bytes of one word into tokens.
@@ -121,9 +122,8 @@ class WordBpe:
         if found is None:
             parts = self.parts(piece.encode("utf-8", "surrogatepass"))
             found = struct.pack(f"<{len(parts)}I", *parts)
-            if len(self.known_pieces) >= WORDS_KEPT:
-                self.known_pieces.clear()
-            self.known_pieces[piece] = found
+            if len(piece) <= LETTERS_KEPT:
+                self.known_pieces.put(piece, found)
         return found
 
     def chunk(self, chunk: str) -> bytes:
@@ -132,9 +132,8 @@ class WordBpe:
             return self._piece(chunk)  # one piece, and kept as such
         if (found := self.known.get(chunk)) is None:
             found = b"".join(map(self._piece, self.pieces.findall(chunk)))
-            if len(self.known) >= WORDS_KEPT:
-                self.known.clear()
-            self.known[chunk] = found
+            if len(chunk) <= LETTERS_KEPT:
+                self.known.put(chunk, found)
         return found
 
     def _plain(self, text: str) -> list[bytes]:
@@ -142,7 +141,7 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ").lower()
         chunks = filter(None, _SPACES.split(text)) if _SEPARATORS.search(text) else text.split()
-        known, pieces, slow = self.known.get, self.known_pieces.get, self.chunk
+        known, pieces, slow = self.known.young.get, self.known_pieces.young.get, self.chunk
         return [pieces(c) or known(c) or slow(c) for c in chunks]
 
     def encode(self, text: str) -> bytes:

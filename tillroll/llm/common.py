@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-#: Texts that one call of a task's function sees; bounds what a worker holds in Python.
+#: Rows, and bytes of them, that one call of a task's function sees; bounds what a worker holds
+#: in Python. A single row may be larger.
 TEXTS_PER_CALL = 256
+BYTES_PER_CALL = 16 << 20
 
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MASK = (1 << 64) - 1
@@ -56,8 +57,10 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, TEXTS_PER_CALL):
-                part = batch.slice(start, TEXTS_PER_CALL)
+            size = batch.nbytes // max(batch.num_rows, 1)
+            rows = min(TEXTS_PER_CALL, max(BYTES_PER_CALL // max(size, 1), 1))
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
                 made = work(*(c.to_pylist() for c in part.columns))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, f.type) for v, f in zip(made, arrow, strict=True)], schema=arrow
@@ -67,25 +70,69 @@ def map_rows(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+class Kept:
+    """A map of bounded size: when the young half is full it becomes the old half. Keys and values
+    should be short."""
+
+    def __init__(self, entries: int) -> None:
+        self.entries = entries
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.entries:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 def fold(key: Column, of: int) -> Column:
     """The remainder by which rows are held out: crc32 of the id as text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % of
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int, by: str | None = None) -> DataFrame:
-    """About `rows` rows, or `rows` of each value of `by`, chosen by a hash of `key`.
+def bounded_sample(
+    df: DataFrame, rows: int, columns: Sequence[str], by: str | None = None
+) -> DataFrame:
+    """At most `rows` distinct rows, or `rows` for each value of `by`, chosen by a hash of all of
+    `columns`, the only ones that are kept.
 
-    The share is set from a count, so the expected size is bounded however large the input
-    is. The choice depends on `key` alone and needs no shuffle of the rows.
+    The share to look at is set from a count; equal rows are one, in the map tasks already; and
+    what is left is cut by number. So the bound holds for repeated and null ids too, and the
+    choice depends on what the rows hold, not on where they lie.
     """
-    unit = F.xxhash64(F.lit(20_011), F.col(key)).bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(2.0**32)
+    df = df.select(*columns)
+    mark = F.xxhash64(F.lit(20_011), *columns)
+    unit = mark.bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(2.0**32)
     if by is None:
-        return df.where(unit < rows / max(df.count(), 1))
-    counts = df.where(F.col(by).isNotNull()).groupBy(by).count().collect()
-    share = F.lit(0.0)
-    for value, n in counts:
-        share = F.when(F.col(by) == F.lit(value), F.lit(rows / n)).otherwise(share)
-    return df.where(unit < share)
+        share = F.lit(rows / max(df.count(), 1))
+    else:
+        share = F.lit(0.0)
+        for value, n in df.where(F.col(by).isNotNull()).groupBy(by).count().collect():
+            share = F.when(F.col(by) == F.lit(value), F.lit(rows / n)).otherwise(share)
+    some = df.where(unit < share).distinct()
+    order = Window.partitionBy(by if by else F.lit(0)).orderBy(mark, *columns)
+    return some.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= rows).drop("_place")
+
+
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, values: Sequence, rows: int
+) -> DataFrame:
+    """(label, text) of a bounded sample of labelled documents, at most `rows` for each value.
+
+    Ids are sampled first, from the labels, and broadcast: a few thousand, however large the
+    tables are. Where ids repeat in the documents, their texts are cut by number as well.
+    """
+    known = labels.where(F.col(label).isin(*values)).select(F.col(key).alias("key"), F.col(label).alias("label"))
+    chosen = F.broadcast(bounded_sample(known, rows, ["key", "label"], by="label"))
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    found = texts.join(chosen, "key").select("label", "text").distinct()
+    return found.orderBy(F.xxhash64("label", "text"), "label", "text").limit(rows * len(values))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -111,8 +158,14 @@ def _geometric(base: int, n: int) -> np.ndarray:
     return out
 
 
+#: Powers that are kept; those for longer texts are made for one text and go with it.
+_POWERS_KEPT = 1 << 20
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, enough for n bytes."""
+    if n > _POWERS_KEPT:
+        return _geometric(_BASE, n), _geometric(pow(_BASE, -1, 1 << 64), n)
     if len(_powers[0]) < n:
         size = 1 << (n - 1).bit_length()
         _powers[0] = _geometric(_BASE, size)
@@ -182,4 +235,5 @@ def gram_buckets(codes: np.ndarray, length: int, bits: int) -> tuple[np.ndarray,
     return (value >> np.uint64(64 - bits)).astype(np.int64), places
 
 
-LETTER = re.compile(r"[^\W\d_]")
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))

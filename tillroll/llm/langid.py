@@ -21,12 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import LETTER, bounded_sample, gram_buckets, letter_codes, map_rows, ship
+from tillroll.llm.common import (
+    bounded_sample,
+    gram_buckets,
+    has_letter,
+    letter_codes,
+    map_rows,
+    ship,
+)
 
 BITS = 12
 GRAMS = (1, 2, 3)
-#: Texts that centroids are fitted on at most, in expectation, over all languages.
+#: Texts that centroids are fitted on at most, over all languages of up to 120.
 FIT_ROWS = 2400
+#: Centroids of a language, or as many as it has distinct texts.
 CLUSTERS = 4
 #: Share of training texts that may lie beyond a language's distance.
 REJECTED_SHARE = 0.002
@@ -58,7 +66,7 @@ class Model:
     reach: np.ndarray  # largest distance for each centroid
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
-        known = np.array([bool(t) and LETTER.search(t) is not None for t in texts], bool)
+        known = np.array([has_letter(t) for t in texts], bool)
         langs, scores, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
         if not known.any() or not self.langs:
             return langs, scores, rejected
@@ -102,7 +110,8 @@ def document_frequency(docs: DataFrame, text: str = "text") -> tuple[np.ndarray,
 
 
 def _clusters(x: np.ndarray, k: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means, started from texts far from one another."""
+    """Spherical k-means, started from texts far from one another. There are as many distinct
+    texts as clusters at least, so that several start apart."""
     centres = x[[rng.integers(len(x))]]
     while len(centres) < k:
         centres = np.concatenate([centres, x[[(x @ centres.T).max(axis=1).argmin()]]])
@@ -120,7 +129,7 @@ def train(vectors: np.ndarray, langs: list[str], idf: np.ndarray, seed: int = 1)
     centroids, owners, reach = [], [], []
     for lang in sorted(set(langs)):
         x = vectors[names == lang]
-        centres, cosine = _clusters(x, max(1, min(CLUSTERS, len(x) // 20)), rng)
+        centres, cosine = _clusters(x, min(CLUSTERS, len(np.unique(x, axis=0))), rng)
         centroids.append(centres)
         owners += [lang] * len(centres)
         reach += [1 - float(np.quantile(cosine, REJECTED_SHARE))] * len(centres)
@@ -130,9 +139,8 @@ def train(vectors: np.ndarray, langs: list[str], idf: np.ndarray, seed: int = 1)
 
 
 def fit(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    rows: int = FIT_ROWS,
-) -> Model:
+    docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = FIT_ROWS
+) -> Model:
     """Document frequencies over all of `docs`; centroids from a bounded sample of each language."""
     docs = docs.where(F.col(lang).isNotNull() & (F.trim(text) != ""))
     frequency, n = document_frequency(docs, text)
@@ -146,8 +154,9 @@ def fit(
 
         return work
 
-    some = bounded_sample(docs.select(key, text, lang), key, each, by=lang)
-    got = map_rows(some, [lang, text], "lang string, v binary", make).toPandas()
+    labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    some = bounded_sample(labelled, each, ["lang", "text"], by="lang")
+    got = map_rows(some, ["lang", "text"], "lang string, v binary", make).toPandas()
     got = got.sort_values(["lang", "v"])
     vectors = np.frombuffer(b"".join(got["v"]), np.float32).reshape(len(got), 1 << BITS)
     kept = vectors.any(axis=1)

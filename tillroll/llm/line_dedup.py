@@ -157,27 +157,33 @@ def dedup_lines(
 
     Kept lines are cut out as slices between the deleted ones, in one pass over the text.
     """
-    lines = stage(lines_of(docs, key, text))  # read twice, and texts are long
+    # numbered, so that no column of `docs` can clash with one of ours
+    plain = docs.toDF(*(f"_c{i}" for i in range(len(docs.columns))))
+    id_, said = (F.col(f"_c{docs.columns.index(c)}") for c in (key, text))
+    lines = stage(lines_of(plain, f"_c{docs.columns.index(key)}", f"_c{docs.columns.index(text)}"))  # read twice
     gone = (
         repeated_lines(lines, min_words)
         .groupBy("doc")
-        .agg(F.sort_array(F.collect_set("at")).alias("__gone"))
-        .select(F.col("doc.id").alias("__id"), F.col("doc.own").alias("__own"), "__gone")
+        .agg(F.sort_array(F.collect_set("at")).alias("gone"))
+        .select(F.col("doc.id").alias("id"), F.col("doc.own").alias("own"), "gone")
     )
-    named = docs.withColumn("__hash", F.xxhash64(text))
-    joined = named.join(
-        gone, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__own")), "left"
+    joined = plain.withColumn("hash", F.xxhash64(said)).join(
+        gone, id_.eqNullSafe(F.col("id")) & (F.col("hash") == F.col("own")), "left"
     )
     added = ("n_lines", "n_deleted")
-    lines, n = F.split(text, "\n"), F.size(F.split(text, "\n"))
+    lines, n = F.split(said, "\n"), F.size(F.split(said, "\n"))
     slices = F.zip_with(
-        F.concat(F.array(F.lit(-1)), "__gone"),
-        F.concat("__gone", F.array(n)),
+        F.concat(F.array(F.lit(-1)), "gone"),
+        F.concat("gone", F.array(n)),
         lambda a, b: F.slice(lines, a + 2, b - a - 1),
     )
-    rest = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.flatten(slices), "\n"))
+    rest = F.when(F.col("gone").isNull(), said).otherwise(F.array_join(F.flatten(slices), "\n"))
     return joined.select(
-        *(rest.alias(c) if c == text else F.col(c) for c in docs.columns if c not in added),
-        F.when(F.col(text).isNotNull(), n).otherwise(0).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_deleted"),
+        *(
+            (rest if c == text else F.col(f"_c{i}")).alias(c)
+            for i, c in enumerate(docs.columns)
+            if c not in added
+        ),
+        F.when(said.isNotNull(), n).otherwise(0).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"),
     )

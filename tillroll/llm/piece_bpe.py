@@ -29,7 +29,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tillroll.llm.common import map_rows
+from tillroll.llm.common import Kept, map_rows
 
 SPACE = "▁"
 #: Longer chunks are not kept.
@@ -67,26 +67,6 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
-class Kept:
-    """A map of bounded size: when the young half is full it becomes the old half."""
-
-    def __init__(self, entries: int = KEPT) -> None:
-        self.entries = entries
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def get(self, key):
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.entries:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-
 class PieceBpe:
     """A model file, ready to encode and decode. Only merge models that leave the text as it
     is, without user-defined or unused pieces, are taken."""
@@ -140,7 +120,7 @@ class PieceBpe:
         self.automaton.make_automaton()
         self.cut: re.Pattern | None = None
         self.chunks = self._chunk_pattern()
-        self.known, self.pairs = Kept(), Kept()
+        self.known, self.pairs = Kept(KEPT), Kept(KEPT)
 
     def merged(self, text: str) -> list[str]:
         """The outcome of merging a short text, straight from the definition."""

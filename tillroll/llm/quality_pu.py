@@ -23,9 +23,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_sample, map_rows, utf8, word_hashes
+from tillroll.llm.common import bounded_sample, labelled_texts, map_rows, utf8, word_hashes
 
-#: Trusted rows, and unlabelled rows, that the model is fitted on at most, in expectation.
+#: Trusted rows, and unlabelled rows, that the model is fitted on at most.
 FIT_ROWS = 6000
 HIDDEN = 24
 EPOCHS = 60
@@ -169,20 +169,13 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 7) -> Model:
     return Model(mean, scale, layers, prior)
 
 
-def with_statistics(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
-) -> DataFrame:
-    """Per row: key, the columns of `carry`, and features."""
+def with_statistics(texts: DataFrame, text: str = "text") -> DataFrame:
+    """Per row: features."""
 
     def make():
-        def work(*columns):
-            return *columns[:-1], [statistics(t) for t in columns[-1]]
-
-        return work
+        return lambda some: ([statistics(t) for t in some],)
 
-    types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (key, *carry))
-    columns = [key, *carry, F.col(text).alias("_text")]
-    return map_rows(docs, columns, f"{types}, features array<double>", make)
+    return map_rows(texts, [text], "features array<double>", make)
 
 
 def fit(
@@ -193,11 +186,9 @@ def fit(
 
     Only label 1 is read. Statistics are made in the tasks; no text comes to the driver.
     """
-    good = bounded_sample(labels.where(F.col(label) == 1), key, rows).select(F.col(key).alias("_key"))
-    # by construction a few thousand ids, however large the tables are
-    trusted = docs.join(F.broadcast(good), F.col(key) == F.col("_key"))
-    some = bounded_sample(docs.select(key, text), key, rows)
-    frames = [with_statistics(d, key, text).select("features").toPandas() for d in (trusted, some)]
+    trusted = labelled_texts(docs, labels, key, text, label, (1,), rows).select("text")
+    some = bounded_sample(docs.select(F.col(text).alias("text")), rows, ["text"])
+    frames = [with_statistics(d).toPandas() for d in (trusted, some)]
     made = [np.array(sorted(map(tuple, f["features"]))).reshape(-1, N_FEATURES) for f in frames]
     return train(*made)
 

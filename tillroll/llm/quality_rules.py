@@ -20,9 +20,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_sample, map_rows, utf8, word_hashes
+from tillroll.llm.common import labelled_texts, map_rows, utf8, word_hashes
 
-#: Labelled rows of each kind that rules are learned from at most, in expectation.
+#: Labelled rows of each kind that rules are learned from at most.
 FIT_ROWS = 6000
 WINDOW = 8
 MAX_CONDITIONS = 3
@@ -35,6 +35,7 @@ COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echoes",
     "n_capitals",
 )
+BASE_COUNTS = COUNTS[:5]
 #: What rules may look at: a count, or one count by another.
 FACTS = {
     "words": ("n_words", None),
@@ -234,13 +235,9 @@ def fit(
     label: str = "quality", rows: int = FIT_ROWS,
 ) -> list[Rule]:
     """Learn from the counts of a bounded sample of labelled rows; texts stay in the tasks."""
-    some = bounded_sample(labels.where(F.col(label).isin(0, 1)), key, rows, by=label)
-    some = some.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
-    # by construction a few thousand ids, however large the tables are
-    found = docs.select(key, text).join(F.broadcast(some), F.col(key) == F.col("_key"))
-    got = with_facts(found, key, text, carry=("_label",)).drop(key).toPandas()
-    got = got.sort_values(["_label", *COUNTS])
-    return learn(got[[*COUNTS]].to_numpy(np.int64), got["_label"].to_numpy() == 0)
+    found = labelled_texts(docs, labels, key, text, label, (0, 1), rows)
+    got = with_facts(found, "label", "text").toPandas().sort_values(["label", *COUNTS])
+    return learn(got[[*COUNTS]].to_numpy(np.int64), got["label"].to_numpy() == 0)
 
 
 def base_failed() -> Column:
@@ -251,10 +248,14 @@ def judge(
     docs: DataFrame, rules: list[Rule], key: str = "doc_id", text: str = "text",
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row: key, the columns of `carry`, counts, base_failed, rule (that fired) and kept."""
+    """Per row: key, the columns of `carry`, the counts of the base, base_failed, kept, and then
+    the other counts and the rule that fired."""
     return with_facts(docs, key, text, carry).select(
-        "*",
+        key,
+        *carry,
+        *BASE_COUNTS,
         base_failed().alias("base_failed"),
-        reason(rules).alias("rule"),
         F.when(base_failed(), False).otherwise(verdict(rules)).alias("kept"),
+        *(c for c in COUNTS if c not in BASE_COUNTS),
+        reason(rules).alias("rule"),
     )

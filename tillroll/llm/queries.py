@@ -42,7 +42,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 5) == 0
     model = langid.fit(docs.where(~held_out))
-    return langid.identify(docs, model).withColumn("held_out", held_out)
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,13 +20,22 @@ one of the classes nothing is toxic. Ids are not read.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_sample, gram_buckets, letter_codes, map_rows, powers
+from tillroll.llm.common import (
+    gram_buckets,
+    labelled_texts,
+    letter_codes,
+    map_rows,
+    powers,
+    ship,
+)
 
 GRAMS = (3, 4, 5)
 BITS = 15
@@ -35,13 +44,12 @@ ECHO = 1 << BITS
 DIMENSIONS = 8
 WINDOW = 16
 STRIDE = 8
-#: Labelled documents of each class that the model is fitted on at most, in expectation.
+#: Labelled documents of each class that the model is fitted on at most.
 FIT_ROWS = 1200
-#: Longer labelled documents are left out of the fit; every document is scored whole.
-FIT_CHARS = 20_000
-#: Passes over the windows: this many, or on few texts as many as make up the steps.
-EPOCHS = 12
-STEPS = 600
+#: Windows of a text that are fitted on at most, some 2,000 words; every text is scored whole.
+FIT_WINDOWS = 256
+#: Passes over the windows: two over all, then over the hardest of each text.
+EPOCHS = 36
 BATCH = 256
 SCALE = 10.0
 
@@ -108,29 +116,48 @@ class _Adam:
             x -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-8)
 
 
+def some_windows(text: str) -> list[bytes]:
+    """The n-grams of the windows of a text, as two bytes each; of a long text so many windows,
+    chosen by a hash of what they hold."""
+    buckets, starts, n_words = grams_of(text)
+    if not n_words:
+        return []
+    parts = [buckets[starts[a] : starts[b]].astype(np.uint16).tobytes() for a, b in windows_of(n_words)]
+    parts = [p for p in parts if p]
+    if len(parts) > FIT_WINDOWS:
+        kept = sorted(range(len(parts)), key=lambda i: (zlib.crc32(parts[i]), i))[:FIT_WINDOWS]
+        parts = [parts[i] for i in sorted(kept)]
+    return parts
+
+
 def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     """Fit on a bounded list of texts, 1 for toxic."""
+    return train_windows([some_windows(t) for t in texts], labels, seed)
+
+
+def train_windows(windows: list[list[bytes]], labels: list[int], seed: int = 5) -> Model:
+    """Fit on the windows of each of a bounded list of texts."""
     y = np.array(labels, np.int64)
     base = min(float(y.mean()) if len(y) else 0.0, 0.49)
-    if len(np.unique(y)) < 2:
+    if len(np.unique(y)) < 2 or len(np.unique([k for w, k in zip(windows, labels) if w])) < 2:
         return Model(np.zeros(ECHO + 1), -30.0, base)
-    # all windows of all texts, flat: grams[bounds[w]:bounds[w + 1]] belong to window w
-    flat_grams, bounds, owner = bytearray(), [0], []
-    for i, t in enumerate(texts):
-        buckets, starts, n_words = grams_of(t)
-        for first, last in windows_of(n_words) if n_words else ():
-            part = buckets[starts[first] : starts[last]]
-            if len(part):
-                flat_grams += part.astype(np.uint16).tobytes()
-                bounds.append(bounds[-1] + len(part))
-                owner.append(i)
-    grams, edge, doc = np.frombuffer(flat_grams, np.uint16), np.array(bounds), np.array(owner)
+    # all windows of all texts, flat: grams[edge[w]:edge[w + 1]] belong to window w
+    sizes = [len(part) // 2 for own in windows for part in own]
+    bounds, owner = np.append(0, np.cumsum(sizes)), [i for i, own in enumerate(windows) for _ in own]
+    flat_grams = bytearray(2 * int(bounds[-1]))
+    at = 0
+    for own in windows:
+        for part in own:
+            flat_grams[at : at + len(part)] = part
+            at += len(part)
+        own.clear()
+    grams, edge, doc = np.frombuffer(flat_grams, np.uint16), bounds, np.array(owner)
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.005, (ECHO + 1, DIMENSIONS))  # n-grams never seen weigh next to nothing
     soft = rng.normal(0, 0.3, (DIMENSIONS, 2))
     offset = np.zeros(2)
     adam = _Adam(table.shape, soft.shape, offset.shape)
-    held = np.isin(doc, rng.permutation(len(texts))[: len(texts) // 5])  # sets the threshold
+    held = np.isin(doc, rng.permutation(len(y))[: len(y) // 5])  # sets the threshold
     length = np.diff(edge)
 
     def scores() -> np.ndarray:
@@ -147,8 +174,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
         return order[np.append(np.diff(doc[order]) != 0, True)]
 
     all_windows, seen = np.arange(len(doc)), np.flatnonzero(~held)
-    batches = max(2 * len(texts) // BATCH, 1)  # windows chosen in a pass, see below
-    for epoch in range(min(max(EPOCHS, STEPS // batches), 100)):
+    for epoch in range(EPOCHS):
         if epoch < 2:
             chosen = seen
         else:
@@ -203,17 +229,31 @@ def fit(
 ) -> Model:
     """Fit on a bounded sample of documents joined with their labels.
 
-    The sample is drawn from the labels, ids and one number, before texts are touched. At
-    most twice `rows` texts of FIT_CHARS characters, in expectation, come to the driver.
+    The tasks cut the texts into windows, at most FIT_WINDOWS of each of twice `rows` texts, and
+    one task, which holds those only, trains on them. The driver gets the finished model.
     """
-    chosen = bounded_sample(labels.where(F.col(label).isin(0, 1)), key, rows, by=label)
-    chosen = chosen.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
-    # by construction a few thousand ids, however large the tables are
-    short = docs.where(F.char_length(text) <= FIT_CHARS)
-    found = short.join(F.broadcast(chosen), F.col(key) == F.col("_key"))
-    got = found.select("_label", F.col(text).alias("_text")).toPandas()
-    got = got.sort_values(["_label", "_text"])
-    return train(got["_text"].tolist(), got["_label"].tolist())
+    found = labelled_texts(docs, labels, key, text, label, (0, 1), rows)
+
+    def windows():
+        return lambda label_, texts: (label_, [some_windows(t or "") for t in texts])
+
+    cut = map_rows(found, [F.col("label").cast("int"), "text"], "label int, windows array<binary>", windows)
+
+    def trained(batches):
+        labels_, own = [], []
+        for batch in batches:
+            labels_ += batch.column(0).to_pylist()
+            own += batch.column(1).to_pylist()
+        order = sorted(range(len(own)), key=lambda i: (labels_[i], own[i]))
+        made = train_windows([own[i] for i in order], [labels_[i] for i in order])
+        row = [made.weight.astype("<f8").tobytes()], [made.bias], [made.base]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], ["weight", "bias", "base"])
+
+    ship(docs.sparkSession)
+    # the one partition there is, also without a row, which gives a model that finds nothing toxic
+    one = cut.repartition(1).mapInArrow(trained, "weight binary, bias double, base double")
+    weight, bias, base = one.first() or (np.zeros(ECHO + 1).tobytes(), -30.0, 0.0)
+    return Model(np.frombuffer(weight, "<f8"), bias, base)
 
 
 def predict(

@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import bounded_sample
+from tillroll.sources.shared import stage
 
 #: (verdict, host/path), the host with all its subdomains, the path as a beginning.
 Rules = tuple[tuple[str, str], ...]
-#: Labelled URLs of each verdict that the regression is fitted on at most, in expectation.
+#: Labelled URLs of each verdict that the regression is fitted on at most.
 FIT_ROWS = 1000
 BUCKETS = 2048
 GRAM = 4
@@ -64,12 +65,14 @@ def with_features(urls: DataFrame, host: str = "host", path: str = "path") -> Da
     return hashing.transform(urls.withColumn("_grams", grams)).drop("_grams")
 
 
-def train(labelled: DataFrame, key: str, rows: int = FIT_ROWS) -> LogisticRegressionModel | str:
-    """Fit on labelled URLs (key, host, path, verdict), or the one verdict there is."""
+def train(labelled: DataFrame, rows: int = FIT_ROWS) -> LogisticRegressionModel | str:
+    """Fit on labelled URLs (host, path, verdict), or the one verdict there is."""
     counts = labelled.groupBy("verdict").count().collect()
     if len(counts) < 2:
         return counts[0]["verdict"] if counts else "allow"
-    some = bounded_sample(labelled, key, rows, by="verdict").orderBy(key, "host", "path").coalesce(1)
+    # a few thousand rows, read again in each pass of the fit
+    chosen = bounded_sample(labelled, rows, ["host", "path", "verdict"], by="verdict")
+    some = stage(chosen.orderBy("host", "path", "verdict").coalesce(1))
     data = with_features(some).withColumn("_label", (F.col("verdict") == "block").cast("double"))
     estimator = LogisticRegression(
         featuresCol="_features", labelCol="_label", regParam=0.001, maxIter=60,
@@ -84,13 +87,13 @@ def judge(
 ) -> DataFrame:
     """Per row of `pages`: key, host, path, rule, verdict and p_block (the regression's).
 
-    `labelled` has (key, host, path, verdict). Without it the pages that a rule fits are the
+    `labelled` has (host, path, verdict). Without it the pages that a rule fits are the
     labelled URLs, so the regression carries the rules over to similar hosts and paths.
     """
     parts = pages.select(key, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule, says = longest_rule(rules, F.col("host"), F.col("path"))
     ruled = parts.withColumns({"rule": rule, "verdict": says})
-    model = train(ruled.where("verdict is not null") if labelled is None else labelled, key)
+    model = train(ruled.where("verdict is not null") if labelled is None else labelled)
     if isinstance(model, str):
         scored = ruled.withColumn("p_block", F.lit(float(model == "block")))
     else:
