@@ -70,11 +70,13 @@ def test_blocks_words_and_bits_that_run_out(spark, monkeypatch):
     text = "one two three four five six one two three four five six"
     for _ in range(2):
         task.add("en", c.spaced(text.encode()))
-    rows = [r for b in task.runs(0) for r in b.to_pylist()]
-    found = {r["phrase"].decode(): r["n"] for r in rows}
-    assert found["one two three four five"] == 4 and found["six one"] == 2 and found["six"] == 4
-    by_size = [(r["words"], r["phrase"]) for r in rows]
-    assert all(a < b for a, b in zip(by_size, by_size[1:]) if a[0] == b[0])
+    rows = [r for b in task.runs(0, 6) for r in b.to_pylist()]
+    found = {k: n for r in rows for k, n in zip(r["keys"], r["counts"])}
+    assert found[b"en\xffone two three four five"] == 4 and found[b"en\xffsix one"] == 2
+    assert found[b"en\xffsix"] == 4 and found[b"en\xff"] == 24
+    assert all(r["keys"] == sorted(r["keys"]) for r in rows)
+    assert [r["range"] for r in rows] == sorted({r["range"] for r in rows})
+    assert list(task.runs(0, 6)) == []
 
 
 def test_trie_bursts_and_gives_up_whole_subtrees():

@@ -32,6 +32,7 @@ from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -68,11 +69,7 @@ _MAPPED = bytes(
     b + 32 if 65 <= b <= 90 else _BREAK if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b
     for b in range(256)
 )
-_RUN = pa.schema(
-    [("lang", pa.string()), ("phrase", pa.binary()), ("words", pa.int32()),
-     ("slot", pa.int64()), ("n", pa.int64())]
-)
-_RUN_ROWS = 50_000
+_END = bytes([_BREAK])  # of the language in a key
 
 
 class Node(dict):
@@ -272,8 +269,9 @@ class Counting:
     def worn(self) -> bool:
         return len(self.ids) > WORDS_HELD or self.bytes_held > WORD_BYTES_HELD
 
-    def runs(self, down_to: int) -> Iterator[pa.RecordBatch]:
-        """Subtrees as sorted runs, one for each length of phrase."""
+    def runs(self, down_to: int, range_bits: int) -> Iterator[pa.RecordBatch]:
+        """Subtrees as sorted runs, a row for each range of prefixes: keys, which are a language
+        and a phrase, and their counts."""
         keys, counts = self.trie.take(down_to)
         by_size: dict[int, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
         for key, n in zip(keys, counts):
@@ -281,34 +279,35 @@ class Counting:
             some[0].append(key)
             some[1].append(n)
         name = self.names.__getitem__
+        spelt_out, ranges, times = [], [], []
         for size, (some, n) in by_size.items():
             ids = np.frombuffer(b"".join(some), ">u4").reshape(-1, size // 4).astype(np.int64)
             langs, words = ids[:, 0].tolist(), ids[:, 1:]
-            spelt = [list(map(name, column)) for column in words.T.tolist()]
-            phrases = spelt[0] if len(spelt) == 1 else list(map(b" ".join, zip(*spelt)))
             tags = {i: name(i)[1:] for i in set(langs)}
+            head = {i: tag + _END for i, tag in tags.items()}
+            spelt = [list(map(name, column)) for column in words.T.tolist()]
+            phrases = spelt[0] if len(spelt) == 1 else map(b" ".join, zip(*spelt))
+            spelt_out += [head[i] + p for i, p in zip(langs, phrases)]
             salt_of = {i: self.salt(tag) for i, tag in tags.items()}
-            slots = np.fromiter(map(salt_of.__getitem__, langs), np.uint64, len(langs))
+            prefix = np.fromiter(map(salt_of.__getitem__, langs), np.uint64, len(langs))
             for k in range(min(words.shape[1], SIFTED)):
-                slots = slots * np.uint64(0x9E3779B97F4A7C15) + self.hashes[words[:, k]]
-            texts = {i: tag.decode("utf-8", "surrogatepass") for i, tag in tags.items()}
-            run = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(map(texts.__getitem__, langs))),
-                    pa.array(phrases, pa.binary()),
-                    pa.array(np.full(len(n), words.shape[1], np.int32)),
-                    pa.array((mix(slots) >> np.uint64(64 - MAP_BITS)).astype(np.int64)),
-                    pa.array(n, pa.int64()),
-                ],
-                schema=_RUN,
-            ).sort_by([("lang", "ascending"), ("phrase", "ascending")])
-            for start in range(0, run.num_rows, _RUN_ROWS):
-                yield run.slice(start, _RUN_ROWS)
-
-    def total_rows(self) -> pa.RecordBatch:
-        """Word occurrences of each language, as phrases of no words."""
-        rows = [(t.decode("utf-8", "surrogatepass"), b"", 0, 0, n) for t, n in self.totals.items()]
-        return pa.RecordBatch.from_pylist([dict(zip(_RUN.names, r)) for r in rows], _RUN)
+                prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + self.hashes[words[:, k]]
+            ranges.append(mix(prefix) >> np.uint64(64 - range_bits))
+            times += n
+        for tag, n in self.totals.items():  # all words of a language count as a phrase of none
+            spelt_out.append(tag + _END)
+            ranges.append(np.array([self.salt(tag) >> np.uint64(64 - range_bits)]))
+            times.append(n)
+        self.totals.clear()
+        if spelt_out:
+            at = np.concatenate(ranges).astype(np.int64)
+            run = pa.table({"range": at, "key": pa.array(spelt_out, pa.binary()), "n": pa.array(times, pa.int64())})
+            run = run.sort_by([("range", "ascending"), ("key", "ascending")]).combine_chunks()
+            at = run["range"].to_numpy()
+            starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            offsets = pa.array(np.append(starts, len(at)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, run[c].combine_chunks()) for c in ("key", "n")]
+            yield pa.RecordBatch.from_arrays([pa.array(at[starts]), *lists], ["range", "keys", "counts"])
 
 
 def added(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -368,8 +367,6 @@ def _run(texts: DataFrame, ddl: str, make: Callable[[], Counting], by_slots: boo
                     size = 0
         yield from work()
         yield from end(task)
-        if task.totals and not by_slots:
-            yield task.total_rows()
 
     ship(texts.sparkSession)
     return texts.mapInArrow(run, ddl)
@@ -380,10 +377,14 @@ def _broadcast(texts: DataFrame, maps: list[np.ndarray]) -> Callable[[], list[np
     return lambda: [m.value for m in sent]
 
 
+def _range_bits(texts: DataFrame) -> int:
+    """Ranges grow with the tasks that send to them, so what meets in one does not."""
+    return min(max(texts.rdd.getNumPartitions() * 4, 64).bit_length(), MOST_RANGES_BITS)
+
+
 def frequent_slots(texts: DataFrame, n: int, maps: list[np.ndarray], min_count: int) -> DataFrame:
     """Slots of phrases of n words that come often enough, among those the maps let through."""
-    tasks = texts.rdd.getNumPartitions()
-    range_bits = min(max(tasks * 4, 64).bit_length(), MOST_RANGES_BITS)
+    range_bits = _range_bits(texts)
     held = _broadcast(texts, maps)
 
     def full(task: Counting) -> Iterator[pa.RecordBatch]:
@@ -402,23 +403,40 @@ def frequent_slots(texts: DataFrame, n: int, maps: list[np.ndarray], min_count:
     return runs.groupBy("range").applyInArrow(merge, "slot bigint")
 
 
-def counted(texts: DataFrame, longest: int, maps: list[np.ndarray], held: int, burst: int) -> DataFrame:
-    """Counts of the phrases that the maps let through: lang, phrase, words and n. Rows of no
+def counted(
+    texts: DataFrame, longest: int, maps: list[np.ndarray], min_count: int, held: int, burst: int
+) -> DataFrame:
+    """Frequent phrases among those the maps let through: lang, phrase, words and n. Rows of no
     words have all word occurrences of a language."""
-    sent = _broadcast(texts, maps)
+    range_bits, sent = _range_bits(texts), _broadcast(texts, maps)
 
     def full(task: Counting) -> Iterator[pa.RecordBatch]:
         if task.trie.size > held:
-            yield from task.runs(held // 2)
+            yield from task.runs(held // 2, range_bits)
 
     runs = _run(
-        texts, "lang string, phrase binary, words int, slot bigint, n bigint",
-        lambda: Counting(longest, sent(), held, burst), False, full, lambda task: task.runs(0),
+        texts, "range bigint, keys array<binary>, counts array<bigint>",
+        lambda: Counting(longest, sent(), held, burst), False, full, lambda task: task.runs(0, range_bits),
     )
-    # a slot stands for a language and the first words; a partitioning by it is also one by
-    # phrase, so the sums need no shuffle of their own
-    merged = runs.repartition("slot").groupBy("slot", "lang", "phrase", "words")
-    return merged.agg(F.sum("n").alias("n")).drop("slot")
+
+    def merge(table: pa.Table) -> pa.Table:
+        keys, n = (pc.list_flatten(table.column(c)) for c in ("keys", "counts"))
+        sums = pa.table({"key": keys, "n": n}).group_by("key").aggregate([("n", "sum")])
+        kept = [
+            (*key.split(_END), n)
+            for key, n in zip(sums["key"].to_pylist(), sums["n_sum"].to_pylist())
+            if n >= min_count or key.endswith(_END)
+        ]
+        return pa.table(
+            {
+                "lang": pa.array([k[0].decode("utf-8", "surrogatepass") for k in kept], pa.string()),
+                "phrase": pa.array([k[1] for k in kept], pa.binary()),
+                "words": pa.array([k[1].count(b" ") + bool(k[1]) for k in kept], pa.int32()),
+                "n": pa.array([k[2] for k in kept], pa.int64()),
+            }
+        )
+
+    return runs.groupBy("range").applyInArrow(merge, "lang string, phrase binary, words int, n bigint")
 
 
 def bit_map(slots: DataFrame) -> np.ndarray:
@@ -447,8 +465,7 @@ def phrase_counts(
     maps: list[np.ndarray] = []
     for n in range(1, min(SIFTED, longest) + 1):
         maps.append(bit_map(frequent_slots(texts, n, maps, min_count)))
-    found = counted(texts, longest, maps, held, burst)
-    kept = stage(found.where((F.col("n") >= min_count) | (F.col("words") == 0)))
+    kept = stage(counted(texts, longest, maps, min_count, held, burst))
     totals = kept.where("words = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     phrases = kept.where("words > 0").select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "n")
     return phrases, totals
