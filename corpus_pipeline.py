@@ -3,6 +3,12 @@
 Each stage takes the documents its predecessor kept and returns what it keeps with the columns
 of documents; the last returns ids. What a stage returns is written as Parquet into the shared
 folder and read again, so a lost executor never reaches back beyond one stage.
+
+In every stage null texts count as empty, rows without an id are kept and never linked, and
+columns beyond doc_id and text, whatever their names, are carried as they are. Documents without
+text are neither toxic nor contaminated nor near copies of anything, so they stay. Rows equal in
+id and text are treated alike; of rows that share an id, near-dedup keeps or drops all. Long
+texts are judged whole. An empty table stays empty through all stages.
 """
 
 from __future__ import annotations
