@@ -297,6 +297,11 @@ def build() -> dict[str, str]:
         "hwm_read": _fact('max("at") AS mark', f'"at" <= {_MARK}'),
         "hwm_update": _fact('max("at") AS mark'),
         "csv_roundtrip": _fact("*"),
+        "csv_quarantine": _fact(
+            """transaction_id, CASE WHEN payment_method_id NOT IN (2, 4) THEN total END AS total,
+            CASE payment_method_id WHEN 2 THEN 'total is no bigint'
+              WHEN 4 THEN 'at is no timestamp_ntz' END AS reason"""
+        ),
         "catalog_scan": _EVENTS_LAKE,
         "catalog_partitions": _fact(
             """DISTINCT 'year=' || year("at") || '/month=' || month("at") || '/day='

@@ -62,6 +62,7 @@ from tillroll.sources import (
     compact,
     new_folder,
     read_csv,
+    read_csv_checked,
     read_dimension,
     read_lake,
     read_mark,
@@ -159,6 +160,19 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, TRANSACTION)
 
 
+@query
+def csv_quarantine(spark, sf_dir):
+    """Sales as text; totals of errors are no numbers, and signups have no time."""
+    path, method = new_folder(spark, "csv"), F.col("payment_method_id")
+    total = F.when(method == EVENT_METHODS["error"], "n/a").otherwise(F.col("total").cast("string"))
+    at = F.when(method == EVENT_METHODS["signup"], "soon").otherwise(F.col("at").cast("string"))
+    write_csv(_events(spark, sf_dir).withColumns({"total": total, "at": at}), path)
+    good, rejected = read_csv_checked(spark, path, TRANSACTION)
+    landed = good.select("transaction_id", "total", F.lit(None).cast("string").alias("reason"))
+    number = F.split("line", ",")[0].cast("bigint").alias("transaction_id")
+    return landed.union(rejected.select(number, F.lit(None).cast("bigint"), "reason"))
+
+
 _DATABASE = "tillroll_sample"
 
 

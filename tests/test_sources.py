@@ -6,7 +6,16 @@ from pyspark.sql.types import StructType
 from conftest import at, rows
 from tillroll.operators.star import star_join
 from tillroll.schemas import PAYMENT, TRANSACTION, TRUCK
-from tillroll.sources import TableSource, new_folder, read_star, read_table, stage, write_csv
+from tillroll.sources import (
+    TableSource,
+    new_folder,
+    read_csv,
+    read_csv_checked,
+    read_star,
+    read_table,
+    stage,
+    write_csv,
+)
 from tillroll.sources import shared
 from tillroll.sources.tables import after, up_to
 
@@ -87,3 +96,31 @@ def test_staged_rows_are_kept_without_lineage(spark):
     staged = stage(spark.range(10).selectExpr("id", "id % 3 AS k").groupBy("k").count())
     assert sorted(rows(staged)) == [(0, 4), (1, 3), (2, 3)]
     assert "Range" not in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_come_back_from_csv_as_they_went(spark):
+    texts = ['say "hi"', "two\nlines", "a,b", "", None, " spaces ", "back\\slash", '"', "tab\t", "\r\nx"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    path = new_folder(spark, "csv")
+    write_csv(frame.coalesce(1), path)
+    back = {r["id"]: r["text"] for r in read_csv(spark, path, frame.schema).collect()}
+    assert back == dict(enumerate(texts))
+    good, rejected = read_csv_checked(spark, path, frame.schema)
+    assert good.count() == len(texts) and rejected.count() == 0
+
+
+def test_bad_lines_are_put_aside_with_their_reason(spark):
+    path = new_folder(spark, "csv")
+    lines = [
+        "transaction_id,truck_id,payment_method_id,total,at", "1,1,1,100,2024-01-15 12:00:00.5", "2,x,1,100,2024-01-15 12:00:00",
+        "3,1,1", "4,1,1,1,2024-01-15 12:00:00,more", "5,1,1,100,yesterday", "6,,1,100,2024-01-15 12:00:00",
+        "99999999999999999999,1,1,1,2024-01-15 12:00:00",
+    ]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    good, rejected = read_csv_checked(spark, path, TRANSACTION)
+    assert sorted(rows(good.select("transaction_id", "truck_id"))) == [(1, 1), (6, None)]
+    assert good.schema["at"].dataType == TRANSACTION["at"].dataType
+    assert {r["line"].split(",")[0]: r["reason"] for r in rejected.collect()} == {
+        "2": "truck_id is no bigint", "3": "wrong number of fields", "4": "wrong number of fields",
+        "5": "at is no timestamp_ntz", "99999999999999999999": "transaction_id is no bigint",
+    }

@@ -19,7 +19,14 @@ from tillroll.sources.lake import (
     write_transactions,
 )
 from tillroll.sources.shared import new_folder, stage
-from tillroll.sources.tables import TableSource, read_csv, read_star, read_table, write_csv
+from tillroll.sources.tables import (
+    TableSource,
+    read_csv,
+    read_csv_checked,
+    read_star,
+    read_table,
+    write_csv,
+)
 
 __all__ = [
     "Lake",
@@ -31,6 +38,7 @@ __all__ = [
     "new_folder",
     "read_catalog",
     "read_csv",
+    "read_csv_checked",
     "read_days",
     "read_dimension",
     "read_lake",

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.functions import ntz
 from tillroll.schemas import PAYMENT, TRANSACTION, TRUCK, Star
@@ -61,13 +61,60 @@ def after(mark) -> Column:
     return F.col("at") > ntz(mark)
 
 
-# Spark's default CSV timestamp stops at milliseconds.
-_CSV = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
+# Spark's default CSV timestamp stops at milliseconds; its writer trims texts and escapes quotes
+# in a way that its reader does not undo.
+_CSV = {
+    "header": "true",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+_LINE = "_line"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
+    """Texts come back as they are: with quotes, line ends, spaces, empty or missing."""
     df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
+def _csv_reader(spark: SparkSession, schema: StructType):
+    """Only tables with texts can have line ends in a row, and are read file by file for that;
+    others are split."""
+    texts = any(isinstance(f.dataType, StringType) for f in schema.fields)
+    # an empty field is missing and a quoted empty one is not, so no text may stand for null
+    return spark.read.options(**_CSV, multiLine=str(texts).lower(), nullValue="\0")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+    return _csv_reader(spark, schema).schema(schema).csv(path)
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the schema, and the others as (line, reason).
+
+    A row with too few or too many fields, or a field that is no value of its type, is not
+    turned into nulls, which cleaning would drop unseen, but put aside with what is wrong first.
+    """
+    fields = [StructField(f.name, StringType()) for f in schema.fields]
+    # texts alone cannot fail to parse, so a corrupt line is one with a wrong number of fields
+    raw = (
+        _csv_reader(spark, schema)
+        .schema(StructType([*fields, StructField(_LINE, StringType())]))
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE)
+        .csv(path)
+    )
+    casts = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    number = F.when(F.col(_LINE).isNotNull(), F.lit("wrong number of fields"))
+    wrong = [
+        F.when(
+            F.col(f"`{f.name}`").isNotNull() & casts[f.name].isNull(),
+            F.lit(f"{f.name} is no {f.dataType.simpleString()}"),
+        )
+        for f in schema.fields
+    ]
+    judged = raw.withColumn("_reason", F.coalesce(number, *wrong))
+    good = judged.where("_reason IS NULL").select(*(c.alias(n) for n, c in casts.items()))
+    whole = F.coalesce(F.col(_LINE), F.to_csv(F.struct(*(F.col(f"`{f.name}`") for f in fields))))
+    rejected = judged.where("_reason IS NOT NULL").select(whole.alias("line"), F.col("_reason").alias("reason"))
+    return good, rejected
