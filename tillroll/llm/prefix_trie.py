@@ -201,7 +201,8 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
         )
     if not raked:
         return tree.select("id", *values)
-    done = reduce(DataFrame.union, raked)
+    # on disk, as the plan of a union of dozens of frames is told anew after each of its stages
+    done = stage(reduce(DataFrame.union, raked))
     # a node taken out points to the one it hung above, which may have been taken out later:
     # pointers are doubled until they end at a raked node
     back = stage(reduce(DataFrame.union, spliced))
@@ -216,9 +217,8 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
             *((F.col(v) + F.coalesce(f"add_{v}", F.lit(0))).alias(v) for v in values),
         )
     totals = done.select(F.col("id").alias("to"), *(F.col(v).alias(f"add_{v}") for v in values))
-    return done.union(
-        back.join(_sorted(totals), "to").select("id", *((F.col(v) + F.col(f"add_{v}")).alias(v) for v in values))
-    )
+    put_back = back.join(_sorted(totals), "to")
+    return stage(done.union(put_back.select("id", *((F.col(v) + F.col(f"add_{v}")).alias(v) for v in values))))
 
 
 def joined_ids(ends: DataFrame) -> DataFrame:
@@ -298,6 +298,7 @@ def prefix_trie(
     saved = (F.col("n_convs") - 1) * F.col("chars")
     tree = known.select(F.col("node").alias("id"), "parent", leaves.alias("n_leaves"), saved.alias("saved_tokens"))
     sums = subtree_sums(tree, ["n_leaves", "saved_tokens"]).withColumnRenamed("id", "node")
+    found = stage(found)
     ends = prefixes.where("depth = length").select("node", "conv").union(
         convs.where("length = 0").select(root, "conv")
     )
