@@ -71,8 +71,8 @@ class Model:
         if not known.any() or not self.langs:
             return langs, scores, rejected
         rows = np.flatnonzero(known)
-        x = np.stack([vector(texts[i], self.idf) for i in rows])
-        cosine = x @ self.centroids.T
+        # text by text, as a product of many rounds by how many there are
+        cosine = np.stack([self.centroids @ vector(texts[i], self.idf) for i in rows])
         near = cosine.argmax(axis=1)
         for i, c, v in zip(rows.tolist(), near.tolist(), cosine.max(axis=1).tolist()):
             langs[i], scores[i] = self.langs[c], min(max(v, 0.0), 1.0)
