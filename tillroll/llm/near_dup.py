@@ -8,7 +8,7 @@
    in the map tasks first, so a class with a third of all rows is no hot key.
 3. Bands of bins are bucket keys. In a bucket every class is a candidate of the smallest one
    only: a star, so a bucket of n has n - 1 candidate pairs. Sets of few shingles, where bins
-   say little, also take their prefix shingles as keys, which no link of small sets can miss.
+   say little, also take their prefix shingles as keys, which no link of two such sets misses.
 4. Candidates are confirmed on the full sets, and links give components.
 5. A star is not enough where a bucket still holds two components: members may be linked with
    each other though not with the centre. For the members of such buckets alone a prefix
