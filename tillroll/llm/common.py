@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -44,6 +45,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Have the driver collect its garbage between the rounds of a job.
+
+    Spark removes shuffle files and checkpoints of frames that nothing refers to any more, but
+    only finds them so when a collection runs, which in a driver with a large heap may be long
+    after they have filled a disk; the plans of earlier rounds go with them.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def map_rows(
     df: DataFrame, columns: Iterable[Column | str], schema: str, make: Callable[[], Callable]
 ) -> DataFrame:

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import tidy
 from tillroll.sources.shared import stage
 
 MIN_WORDS = 50
@@ -128,6 +129,7 @@ def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         )
         size *= 2
         levels = levels.union(ranks.withColumn("size", F.lit(size)))
+        tidy(lines.sparkSession)
     # the first and the last lines of a stretch, the largest power of two of them, overlap and
     # so name the whole
     halves = stretches.withColumn("size", F.expr("shiftleft(1, length(bin(length)) - 1)"))

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import LOWER_ASCII, map_rows, mix, utf8, word_hashes
+from tillroll.llm.common import LOWER_ASCII, map_rows, mix, tidy, utf8, word_hashes
 from tillroll.sources.shared import stage
 
 WORDS = 5
@@ -185,6 +185,7 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("x").alias("a"), F.col("y").alias("b"))
             .distinct()
         )
+        tidy(left.sparkSession)
     return roots
 
 
@@ -238,6 +239,7 @@ def remaining_links(
         .withColumn("place", F.col("place") + F.col("own"))
     )
     heads = stage(heads.drop("own"))
+    tidy(docs.sparkSession)
     # A pair of 0.75 shares 3/7 of both sizes. Its first common token therefore leaves that much
     # behind it in both sets, which rules out most sizes before any pair is made: a token far
     # back leads to smaller sets only, and those must have it further ahead.
@@ -284,6 +286,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     buckets = stage(keyed.join(centres, "bucket"))
     stars = buckets.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
     links = stage(confirmed(stars.distinct(), docs, key, text))
+    tidy(docs.sparkSession)
     more = remaining_links(buckets.select("bucket", "id"), components(links), docs, key, text)
     roots = components(links.union(more))
     named = classes.select("cls", "rep").join(

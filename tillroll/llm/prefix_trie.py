@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.common import ship
+from tillroll.llm.common import ship, tidy
 from tillroll.sources.shared import stage
 
 #: A conversation takes fewer than this many turns from the first of its hundred.
@@ -199,6 +199,7 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
             *((F.col(e) + F.coalesce(f"more_{v}", F.lit(0))).alias(e) for v, e in zip(values, edges)),
             F.col("left").alias("kids"),
         )
+        tidy(tree.sparkSession)
     if not raked:
         return tree.select("id", *values)
     # on disk, as the plan of a union of dozens of frames is told anew after each of its stages
@@ -267,6 +268,7 @@ def prefix_trie(
     ends_sha256. A node is known by its depth and its smallest conversation."""
     turns, convs = rebuilt(numbered_turns(rows, conv, turn, role, text))
     prefixes = stage(named_prefixes(turns))
+    tidy(rows.sparkSession)
     root = F.md5(F.lit("0.0.0.0.0"))
     nodes = prefixes.groupBy("node").agg(
         F.min("parent").alias("parent"),
@@ -299,6 +301,7 @@ def prefix_trie(
     tree = known.select(F.col("node").alias("id"), "parent", leaves.alias("n_leaves"), saved.alias("saved_tokens"))
     sums = subtree_sums(tree, ["n_leaves", "saved_tokens"]).withColumnRenamed("id", "node")
     found = stage(found)
+    tidy(rows.sparkSession)
     ends = prefixes.where("depth = length").select("node", "conv").union(
         convs.where("length = 0").select(root, "conv")
     )
