@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import bpe, decontaminate, line_dedup, near_dup, toxicity
 from tillroll.llm.queries import VOCABULARY, table
-from tillroll.sources.shared import new_folder
+from tillroll.sources.shared import new_folder, remove_folder
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str, str, tuple[str, ...]]:
@@ -89,9 +89,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents. What a stage wrote goes when the next has been written; the
+    result stays in the shared folder."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = new_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before is not None:
+            remove_folder(spark, before)
+        before = folder
     return docs

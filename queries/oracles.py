@@ -338,7 +338,9 @@ def build() -> dict[str, str]:
         "supplier_payment_distribution": of_suppliers["payment_distribution"],
         "supplier_performance": of_suppliers["truck_performance"],
         "supplier_underperforming": of_suppliers["underperforming_trucks"],
-        "supplier_price_segmentation": of_suppliers["price_segmentation"],
+        "supplier_price_segmentation": of_suppliers["price_segmentation"].replace(
+            "round(l_extendedprice * 100)", "floor(l_extendedprice / 100)"
+        ),
         "supplier_kpi_metrics": of_suppliers["kpi_metrics"],
         "supplier_star_join": of_suppliers["star_join"],
         "format_timestamp": _fact(

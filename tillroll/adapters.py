@@ -122,24 +122,29 @@ def _ratings(nation: str) -> tuple[str, str]:
     )
 
 
-def _lineitem_fact(lineitem: DataFrame, truck_id: str, discarded_pence: int = 0) -> DataFrame:
+_TOTAL = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+# A ten-thousandth of the price, so that there are sales in every price segment.
+CHEAP_TOTAL = "CAST(floor(l_extendedprice / 100) AS BIGINT)"
+
+
+def _lineitem_fact(lineitem: DataFrame, truck_id: str, total: str = _TOTAL) -> DataFrame:
     return lineitem.selectExpr(
         "l_orderkey AS transaction_id",
         f"{truck_id} AS truck_id",
         f"{method_id('l_returnflag', FLAG_METHODS)} AS payment_method_id",
-        f"CAST(rint(l_extendedprice * 100) AS BIGINT) - {discarded_pence} AS total",
+        f"{total} AS total",
         "l_shipdate AS at",
     )
 
 
-def supplier_star(spark: SparkSession, sf_dir: str) -> Star:
+def supplier_star(spark: SparkSession, sf_dir: str, total: str = _TOTAL) -> Star:
     """Line items are sales, suppliers are trucks under their own name, the return flag is
     the payment method. The largest fact and a fleet that grows with it; dates only."""
     lineitem = table(spark, sf_dir, "lineitem")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     truck = table(spark, sf_dir, "supplier").join(nation, "s_nationkey")
     return Star(
-        _lineitem_fact(lineitem, "l_suppkey"),
+        _lineitem_fact(lineitem, "l_suppkey", total),
         _payment(lineitem, "l_returnflag", FLAG_METHODS),
         truck.selectExpr("s_suppkey AS truck_id", "s_name AS truck_name", *_ratings("s_nationkey")),
     )
@@ -158,7 +163,7 @@ def raw_star(spark: SparkSession, sf_dir: str) -> Star:
         _lineitem_fact(
             lineitem.unionByName(again),
             "CASE WHEN l_discount <> 0 THEN CAST(l_linenumber AS BIGINT) END",
-            discarded_pence=500_000,
+            f"{_TOTAL} - 500000",
         ),
         _payment(lineitem, "l_returnflag", FLAG_METHODS),
         table(spark, sf_dir, "nation").selectExpr(
