@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tillroll.sources.shared import new_folder
+
 #: Rows, and bytes of them, that one call of a task's function sees; bounds what a worker holds
 #: in Python. A single row may be larger.
 TEXTS_PER_CALL = 256
@@ -45,6 +47,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Compute a frame once and read it back from the shared folder.
+
+    Like a checkpoint, but nothing of the old plan comes along. A checkpoint keeps what the
+    optimizer knew about the columns, and in a loop of joins that grows from round to round until
+    it fills the driver.
+    """
+    folder = new_folder(df.sparkSession, "written")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def tidy(spark: SparkSession) -> None:
     """Have the driver collect its garbage between the rounds of a job.
 

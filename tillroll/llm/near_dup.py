@@ -27,8 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import LOWER_ASCII, map_rows, mix, tidy, utf8, word_hashes
-from tillroll.sources.shared import stage
+from tillroll.llm.common import LOWER_ASCII, map_rows, mix, tidy, utf8, word_hashes, written
 
 WORDS = 5
 BANDS = 40
@@ -162,23 +161,23 @@ def components(links: DataFrame) -> DataFrame:
     and links are redrawn between those, until none is left. At least half of the ids go in
     each round, so there are about log n of them; a star takes one.
     """
-    left = stage(links.select("a", "b").where("a <> b").distinct())
+    left = written(links.select("a", "b").where("a <> b").distinct())
     ids = left.select(F.col("a").alias("id")).union(left.select("b")).distinct()
     roots = ids.withColumn("root", F.col("id"))
     while not left.isEmpty():
         both = left.union(left.select("b", "a"))
         hooks = both.groupBy(F.col("a").alias("root")).agg(F.min("b").alias("low"))
-        hooks = stage(hooks.select("root", F.least("root", "low").alias("to")))
+        hooks = written(hooks.select("root", F.least("root", "low").alias("to")))
         while True:
             ends = hooks.select(F.col("root").alias("to"), F.col("to").alias("end"))
-            further = stage(hooks.join(_sorted(ends), "to").select("root", "to", "end"))
+            further = written(hooks.join(_sorted(ends), "to").select("root", "to", "end"))
             hooks = further.select("root", F.col("end").alias("to"))
             if further.where("end <> to").isEmpty():
                 break
-        roots = stage(
+        roots = written(
             roots.join(_sorted(hooks), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
         )
-        left = stage(
+        left = written(
             left.join(_sorted(hooks.select(F.col("root").alias("a"), F.col("to").alias("x"))), "a")
             .join(_sorted(hooks.select(F.col("root").alias("b"), F.col("to").alias("y"))), "b")
             .where("x <> y")
@@ -203,7 +202,7 @@ def remaining_links(
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low <> high")
     )
-    open_ids = stage(named.join(mixed, "bucket").select("id", "root").distinct())
+    open_ids = written(named.join(mixed, "bucket").select("id", "root").distinct())
     if open_ids.isEmpty():
         return open_ids.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(open_ids, "id")
@@ -238,7 +237,7 @@ def remaining_links(
         .select("id", "root", "n", F.posexplode("head.token").alias("place", "token"), "own")
         .withColumn("place", F.col("place") + F.col("own"))
     )
-    heads = stage(heads.drop("own"))
+    heads = written(heads.drop("own"))
     tidy(docs.sparkSession)
     # A pair of 0.75 shares 3/7 of both sizes. Its first common token therefore leaves that much
     # behind it in both sets, which rules out most sizes before any pair is made: a token far
@@ -269,13 +268,13 @@ def remaining_links(
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of `docs`: key, n_shingles, component_id and kept."""
-    rows = stage(sketches(docs, key, text))
+    rows = written(sketches(docs, key, text))
     classes = (
         rows.where("cls is not null and id is not null")
         .groupBy("cls")
         .agg(F.min("id").alias("rep"), F.min_by("keys", "id").alias("keys"))
     )
-    classes = stage(classes)
+    classes = written(classes)
     keyed = classes.select(F.col("rep").alias("id"), F.explode("keys").alias("bucket"))
     centres = (
         keyed.groupBy("bucket")
@@ -283,9 +282,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .where("centre <> last")
         .select("bucket", "centre")
     )
-    buckets = stage(keyed.join(centres, "bucket"))
+    buckets = written(keyed.join(centres, "bucket"))
     stars = buckets.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    links = stage(confirmed(stars.distinct(), docs, key, text))
+    links = written(confirmed(stars.distinct(), docs, key, text))
     tidy(docs.sparkSession)
     more = remaining_links(buckets.select("bucket", "id"), components(links), docs, key, text)
     roots = components(links.union(more))

@@ -39,8 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.common import ship, tidy
-from tillroll.sources.shared import stage
+from tillroll.llm.common import ship, tidy, written
 
 #: A conversation takes fewer than this many turns from the first of its hundred.
 MOST_SHARED = 6
@@ -71,7 +70,7 @@ def numbered_turns(rows: DataFrame, conv: str, turn: str, role: str, text: str)
         "place", F.monotonically_increasing_id()
     )
     said = F.md5(F.concat_ws(":", F.char_length("role").cast("string"), "role", "text"))
-    return stage(
+    return written(
         placed.select(
             "conv",
             F.shiftright("place", 33).alias("part"),
@@ -87,7 +86,7 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     conversations (conv, length)."""
     spans = turns.groupBy("conv", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    spans = stage(
+    spans = written(
         spans.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first"))
     )
     shared = F.crc32(F.col("conv").cast("string").cast("binary")) % MOST_SHARED
@@ -99,7 +98,7 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         "taken", F.least("shared", F.coalesce("base_n", F.lit(0)))
     )
     convs = convs.withColumn("length", F.col("taken") + F.greatest(F.col("n") - F.col("shared"), F.lit(0)))
-    convs = stage(convs.select("conv", "base", "shared", "taken", "length"))
+    convs = written(convs.select("conv", "base", "shared", "taken", "length"))
     numbered = turns.join(_sorted(spans.join(_sorted(convs), "conv")), ["conv", "part"]).withColumn(
         "number", F.col("at") + F.col("before") + 1
     )
@@ -155,7 +154,7 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
     edges = [f"edge_{v}" for v in values]
     nothing = [F.lit(0).cast("long").alias(e) for e in edges]
     kids = tree.where("parent IS NOT NULL").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("kids"))
-    alive = stage(
+    alive = written(
         tree.join(_sorted(kids), "id", "left").select(
             "id", "parent", *values, *nothing, F.coalesce("kids", F.lit(0)).alias("kids")
         )
@@ -183,7 +182,7 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
             *(F.col(v).alias(f"above_{v}") for v in values),
             *((F.col(v) + F.col(e)).alias(f"more_{v}") for v, e in zip(values, edges)),
         )
-        hung = stage(raised.where("NOT gone").join(_sorted(gone), "id", "left"))
+        hung = written(raised.where("NOT gone").join(_sorted(gone), "id", "left"))
         raked.append(hung.where("leaf").select("id", *values))
         spliced.append(
             hung.where("above IS NOT NULL").select(
@@ -203,13 +202,13 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
     if not raked:
         return tree.select("id", *values)
     # on disk, as the plan of a union of dozens of frames is told anew after each of its stages
-    done = stage(reduce(DataFrame.union, raked))
+    done = written(reduce(DataFrame.union, raked))
     # a node taken out points to the one it hung above, which may have been taken out later:
     # pointers are doubled until they end at a raked node
-    back = stage(reduce(DataFrame.union, spliced))
+    back = written(reduce(DataFrame.union, spliced))
     while True:
         ends = back.select(F.col("id").alias("to"), F.col("to").alias("next"), *(F.col(v).alias(f"add_{v}") for v in values))
-        further = stage(back.join(_sorted(ends), "to", "left"))
+        further = written(back.join(_sorted(ends), "to", "left"))
         if further.where("next IS NOT NULL").isEmpty():
             break
         back = further.select(
@@ -219,7 +218,7 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
         )
     totals = done.select(F.col("id").alias("to"), *(F.col(v).alias(f"add_{v}") for v in values))
     put_back = back.join(_sorted(totals), "to")
-    return stage(done.union(put_back.select("id", *((F.col(v) + F.col(f"add_{v}")).alias(v) for v in values))))
+    return written(done.union(put_back.select("id", *((F.col(v) + F.col(f"add_{v}")).alias(v) for v in values))))
 
 
 def joined_ids(ends: DataFrame) -> DataFrame:
@@ -267,7 +266,7 @@ def prefix_trie(
     """Per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens and
     ends_sha256. A node is known by its depth and its smallest conversation."""
     turns, convs = rebuilt(numbered_turns(rows, conv, turn, role, text))
-    prefixes = stage(named_prefixes(turns))
+    prefixes = written(named_prefixes(turns))
     tidy(rows.sparkSession)
     root = F.md5(F.lit("0.0.0.0.0"))
     nodes = prefixes.groupBy("node").agg(
@@ -282,10 +281,10 @@ def prefix_trie(
         root.alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("depth"),
         "conv_id", "n_convs", F.lit(0).cast("long").alias("chars"),
     )
-    nodes = stage(nodes.union(top))
+    nodes = written(nodes.union(top))
     kids = nodes.where("parent IS NOT NULL").groupBy("parent").agg(F.count("*").alias("n_children"))
     kids = kids.withColumnRenamed("parent", "node")
-    known = stage(nodes.join(_sorted(kids), "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
+    known = written(nodes.join(_sorted(kids), "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
 
     parents = known.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), "n_children")
     many = known.count() // BUSY_SHARE
@@ -300,7 +299,7 @@ def prefix_trie(
     saved = (F.col("n_convs") - 1) * F.col("chars")
     tree = known.select(F.col("node").alias("id"), "parent", leaves.alias("n_leaves"), saved.alias("saved_tokens"))
     sums = subtree_sums(tree, ["n_leaves", "saved_tokens"]).withColumnRenamed("id", "node")
-    found = stage(found)
+    found = written(found)
     tidy(rows.sparkSession)
     ends = prefixes.where("depth = length").select("node", "conv").union(
         convs.where("length = 0").select(root, "conv")
