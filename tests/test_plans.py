@@ -78,6 +78,57 @@ def test_join_broadcasts_only_measured_dimensions(spark, sf_dir):
     assert sorted(rows(within)) == sorted(rows(beyond))
 
 
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Without broadcasts by Spark's own limits, as when sums are ready before the methods are."""
+    before = {key: spark.conf.get(key, None) for key in SHUFFLED}
+    for key, value in SHUFFLED.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "supplier_daily_revenue",
+        "supplier_cumulative_revenue",
+        "supplier_payment_distribution",
+        "supplier_kpi_metrics",
+        "daily_revenue",
+        "avg_amount_by_hour",
+    ],
+)
+def test_sums_are_not_shuffled_by_the_few_payment_methods(spark, sf_dir, shuffled, name):
+    plan = executed(QUERIES[name](spark, sf_dir))
+    assert "hashpartitioning(truck_id" in plan  # what is not measured is shuffled here
+    assert "hashpartitioning(payment_method_id" not in plan
+
+
+def test_roll_up_broadcasts_only_methods_measured_small(spark, fleet, shuffled):
+    noon = "2024-01-15 12:00:00"
+    sales = [(i, truck, method, i, noon) for i, (truck, method) in enumerate(
+        [(1, 1), (1, 2), (2, 1), (2, 1), (3, 2), (4, 1), (1, 9), (9, 1), (1, None), (None, 1)]
+    )]
+    star = fleet(*sales)
+    twice = type(star)(star.fact, star.payment.union(star.payment.where("payment_method_id = 2")), star.truck)
+    for each in (star, twice):
+        within = roll_up(each, "date")
+        beyond = roll_up(each, "date", broadcast_bytes=0)
+        assert "hashpartitioning(payment_method_id" not in executed(within)
+        assert "hashpartitioning(payment_method_id" in executed(beyond)
+        assert sorted(map(str, rows(within))) == sorted(map(str, rows(beyond)))
+    assert sum(row["sales"] for row in roll_up(star).collect()) == 6
+    assert sum(row["sales"] for row in roll_up(twice).collect()) == 8
+
+
 def test_join_beyond_the_bound_splits_a_hot_truck(spark, fleet):
     """A truck with most of the sales, both sides shuffled."""
     sales = [(i, 1 if i % 10 else 2, 1, 100, "2024-01-15 12:00:00") for i in range(20_000)]

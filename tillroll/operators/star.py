@@ -43,6 +43,12 @@ def dimension_bytes(*dimensions: DataFrame) -> list[int]:
     return [row["bytes"] for row in sorted(sizes, key=lambda row: row["number"])]
 
 
+def _small_broadcast(broadcast_bytes: int, *dimensions: DataFrame) -> list[DataFrame]:
+    """The dimensions, with a hint on those that measure no more than the bound."""
+    sizes = dimension_bytes(*dimensions)
+    return [F.broadcast(d) if size <= broadcast_bytes else d for d, size in zip(dimensions, sizes)]
+
+
 def star_join(star: Star, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Every sale with the names its ids stand for; sales without a match vanish.
 
@@ -52,11 +58,7 @@ def star_join(star: Star, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """
     payment = star.payment.select("payment_method_id", "payment_method")
     truck = star.truck.select("truck_id", "truck_name", "has_card_reader", "fsa_rating")
-    payment_bytes, truck_bytes = dimension_bytes(payment, truck)
-    if payment_bytes <= broadcast_bytes:
-        payment = F.broadcast(payment)
-    if truck_bytes <= broadcast_bytes:
-        truck = F.broadcast(truck)
+    payment, truck = _small_broadcast(broadcast_bytes, payment, truck)
     return (
         star.fact.join(payment, "payment_method_id")
         .join(truck, "truck_id")
@@ -101,16 +103,25 @@ def summed_again(sums: DataFrame, *grains: str) -> DataFrame:
     return sums.groupBy(*_IDS, *grains).agg(*(F.sum(c).alias(c) for c in _ADDED))
 
 
-def named(sums: DataFrame, payment: DataFrame, truck: DataFrame) -> DataFrame:
-    """Sums with the names their ids stand for."""
+def named(
+    sums: DataFrame, payment: DataFrame, truck: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Sums with the names their ids stand for.
+
+    There are few payment methods, and sums by truck and day are as many as the sales they came
+    from, so a shuffle on the method would sort all sums in as many tasks as there are methods.
+    Payment methods measured small are broadcast, and the sums stay where they are.
+    """
+    payment = payment.select("payment_method_id", "payment_method")
+    [payment] = _small_broadcast(broadcast_bytes, payment)
     return (
-        sums.join(payment.select("payment_method_id", "payment_method"), "payment_method_id")
+        sums.join(payment, "payment_method_id")
         .join(truck.select("truck_id", "truck_name"), "truck_id")
         .drop(*_IDS)
     )
 
 
-def roll_up(star: Star, *grains: str) -> DataFrame:
+def roll_up(star: Star, *grains: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Additive measures per truck, payment method and the given grains.
 
     The fact is summed by its ids before any join: each map task reduces a busy truck to
@@ -119,7 +130,7 @@ def roll_up(star: Star, *grains: str) -> DataFrame:
     Sums and counts are additive, so a dimension with repeated keys fans out the sums
     exactly as it would fan out the sales.
     """
-    return named(summed(star.fact, *grains), star.payment, star.truck)
+    return named(summed(star.fact, *grains), star.payment, star.truck, broadcast_bytes)
 
 
 def by_name(sales: DataFrame) -> DataFrame:
